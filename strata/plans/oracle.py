@@ -385,3 +385,42 @@ ORACLE: dict[str, str] = {
       FROM embeddings WHERE vec_id <> (SELECT min(vec_id) FROM embeddings)
       ORDER BY score DESC, vec_id LIMIT 3""",
 }
+
+# -- queries that write -------------------------------------------------------------
+
+_PARTS_BY_YEAR = """SELECT version, 'closing' AS operation, done AS committed_at,
+    CAST(count(DISTINCT y) AS BIGINT) AS parts FROM (
+      SELECT CAST(0 AS BIGINT) AS version, TIMESTAMP '2001-01-01' AS done, year(production_date) AS y FROM book0
+      UNION ALL SELECT 1, TIMESTAMP '2001-02-01', year(production_date) FROM book0
+      UNION ALL SELECT 1, TIMESTAMP '2001-02-01', year(production_date) FROM book1
+      UNION ALL SELECT 2, TIMESTAMP '2001-03-01', year(production_date) FROM book0
+      UNION ALL SELECT 2, TIMESTAMP '2001-03-01', year(production_date) FROM book1
+      UNION ALL SELECT 2, TIMESTAMP '2001-03-01', year(production_date) FROM book2)
+    GROUP BY 1, 2, 3"""
+
+_RESCUED = """SELECT event_id, user_id, CASE WHEN event_type <> 'error' THEN value END AS value,
+    CASE WHEN event_type = 'error' THEN '{"value":"bad-' || event_id || '"}' END AS _rescued_data FROM events"""
+
+ORACLE |= {
+    "ingest_files": "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM lineitem",
+    "evolve_schema": """SELECT * REPLACE (CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN props END AS props)
+      FROM events""",
+    "rescue_columns": _RESCUED,
+    "rescue_typed_files": _RESCUED,
+    "copy_into": plain("production"),
+    "partitioned_source": build("production", body="""SELECT *, CAST(date_trunc('month', production_date) AS DATE)
+      AS production_month FROM production WHERE production_date >= DATE '2001-01-01'"""),
+    "read_binary": ORACLE["page_text"].replace("SELECT page_id,", "SELECT", 1),
+    "load_targets": plain("targets"),
+    "stream_table": ORACLE["silver_cleanse"],
+    "stream_upsert": plain("fleet"),
+    "stream_scd2": plain("history"),
+    "load_full": plain("daily"),
+    "load_incremental": plain("daily"),
+    "load_cdc": ORACLE["cdc_mirror"],
+    "load_audit": plain("audit"),
+    "load_state": build("audit", body="""SELECT unnest(['mirror', 'audit']) AS table_name,
+      CAST(2 AS BIGINT) AS last_version, (SELECT max(_commit_version) FROM audit) AS audited_version"""),
+    "as_of_version": plain("book1"),
+    "version_history": build("book0", "book1", "book2", body=_PARTS_BY_YEAR),
+}
