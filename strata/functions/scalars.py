@@ -7,11 +7,11 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Status bands of a health score, and the exact scales of sums.
+# Status bands of a health score, and the scales of exact sums.
 ATTENTION_BELOW = 70
 MONITOR_BELOW = 80
-MONEY = "decimal(18,2)"
-FRACTION = "decimal(18,6)"
+CENTS = 100.0
+MILLIONTHS = 1e6
 
 
 def safe_ratio(top: Column, bottom: Column) -> Column:
@@ -19,23 +19,34 @@ def safe_ratio(top: Column, bottom: Column) -> Column:
     return top / F.nullif(bottom, F.lit(0))
 
 
-def money_sum(amount: Column | str) -> Column:
-    """Exact sum of a money column, still decimal so that it can be summed again.
+def whole(value: Column | str, scale: float) -> Column:
+    """The value as a whole number of ``1 / scale`` units, rounded.
 
-    Decimal addition gives the same total for every partitioning; a plain double
-    sum changes in its last digits with task order.
+    Sums of whole numbers are the same for every partitioning, where sums of
+    doubles change in their last digits with task order, and cost less than sums
+    of decimals cast from doubles.
     """
-    return F.sum(_col(amount).cast(MONEY))
+    return F.floor(_col(value) * F.lit(scale) + F.lit(0.5))
+
+
+def wide_sum(units: Column | str) -> Column:
+    """Sum of whole numbers over any number of rows; decimal, so it cannot overflow."""
+    return F.sum(_col(units).cast("decimal(20,0)"))
 
 
-def fraction_sum(value: Column | str) -> Column:
-    """Exact sum of a fractional measure, the additive half of an average."""
-    return F.sum(_col(value).cast(FRACTION))
+def from_units(total: Column | str, scale: float) -> Column:
+    """A sum of ``whole`` values in its own unit again."""
+    return _col(total).cast("double") / F.lit(scale)
+
+
+def money_sum(amount: Column | str) -> Column:
+    """Exact total of a money column over any number of rows."""
+    return from_units(wide_sum(whole(amount, CENTS)), CENTS)
 
 
-def exact_avg(total: Column, count: Column) -> Column:
-    """Average of an exact sum; NULL for an empty group."""
-    return safe_ratio(total.cast("double"), count)
+def exact_avg(total: Column | str, count: Column | str) -> Column:
+    """Average from a sum of millionths; NULL for an empty group."""
+    return safe_ratio(from_units(total, MILLIONTHS), _col(count))
 
 
 def health_band(score: Column | str) -> Column:

@@ -362,7 +362,7 @@ def lookup_join(spark, sf_dir):
         .groupBy("p_brand")
         .agg(
             F.count(F.lit(1)).alias("readings"),
-            fx.money_sum("p_retailprice").cast("double").alias("list_price"),
+            fx.money_sum("p_retailprice").alias("list_price"),
         )
     )
 

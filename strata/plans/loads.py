@@ -13,15 +13,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.scalars import exact_avg, run_stamp
+from strata.functions.scalars import run_stamp
 from strata.operators.changes import (
     as_mirror_rows,
     audit_append,
     delete_matching,
     net_changes,
 )
+from strata.plans.marts import site_day_measures
 from strata.sources import versions
-from strata.sources.files import if_present
+from strata.sources.files import if_present, small_frame
 
 STATE_SCHEMA = "table_name string, last_version long, updated_at timestamp"
 EPOCH = dt.datetime(1970, 1, 1)
@@ -52,7 +53,7 @@ def save_state(
     spark: SparkSession, state_dir: str, consumer: str, version: int, run_ts: dt.datetime | None = None
 ) -> None:
     """Append the consumer's new state."""
-    row = spark.createDataFrame([(consumer, version)], "table_name string, last_version long")
+    row = small_frame(spark, {"table_name": [consumer], "last_version": [version]})
     row.withColumn("updated_at", run_stamp(run_ts)).coalesce(1).write.mode("append").parquet(state_dir)
 
 
@@ -77,28 +78,6 @@ def load_full(
 # -- high-water-mark append ------------------------------------------------------
 
 
-def additive_site_days(readings: DataFrame, *extra: Column) -> DataFrame:
-    """Site-day sums that stay additive, for batches that share a day."""
-    return readings.groupBy("site_id", "production_date").agg(
-        F.sum("tons_extracted").alias("total_tons"),
-        F.sum(F.col("mineral_grade_percent").cast("decimal(18,6)")).alias("grade_sum"),
-        F.count("mineral_grade_percent").alias("grade_count"),
-        F.sum(F.col("total_cost_usd").cast("decimal(18,2)")).alias("total_cost"),
-        F.count(F.lit(1)).alias("record_count"),
-        *extra,
-    )
-
-
-def merge_site_days(appended: DataFrame) -> DataFrame:
-    """One row per site and day from all appended batches."""
-    return appended.groupBy("site_id", "production_date").agg(
-        F.sum("total_tons").alias("total_tons"),
-        exact_avg(F.sum("grade_sum"), F.sum("grade_count")).alias("avg_grade"),
-        F.sum("total_cost").cast("double").alias("total_cost"),
-        F.sum("record_count").alias("record_count"),
-    )
-
-
 def get_watermark(spark: SparkSession, root: str, default: dt.datetime = EPOCH) -> dt.datetime:
     """Newest event time the table has taken in."""
     if versions.latest_version(spark, root) is None:
@@ -119,12 +98,14 @@ def load_incremental(
     source: DataFrame,
     root: str,
     time_col: str,
-    build: Callable[..., DataFrame] = additive_site_days,
+    build: Callable[..., DataFrame] = site_day_measures,
     date_col: str | None = None,
     run_ts: dt.datetime | None = None,
 ) -> int | None:
     """Append the aggregate of the rows after the mark; None when there are none.
 
+    Two batches may share a day, so what is appended must stay additive; see
+    ``merge_site_days`` for reading it.
     ``build(rows, *extra)`` adds the extra aggregates, here the newest event time of
     each group: the next mark is their maximum. Rows that arrive at or below the
     mark are not picked up by this strategy.

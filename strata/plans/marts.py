@@ -2,8 +2,10 @@
 
 Aggregating to site and day before the joins keeps the only large shuffle at one
 row per (site, day) and map task, whatever share of the readings one site holds.
-Dimension joins carry no hint: Spark broadcasts a side only under its size
-threshold and otherwise shuffles it.
+Grade and cost are summed as millionths and cents: 64 bits hold 9e16 USD per site
+and day, and totals over more rows use decimals. Sites arrive marked for broadcast
+only after a check of their number (``broadcast_if_small``); a larger dimension is
+shuffled like any table.
 """
 
 from __future__ import annotations
@@ -14,10 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.scalars import (
+    CENTS,
+    MILLIONTHS,
     exact_avg,
-    fraction_sum,
+    from_units,
     money_sum,
     safe_ratio,
+    whole,
+    wide_sum,
     within_days,
 )
 from strata.operators.windows import global_rank
@@ -25,28 +31,43 @@ from strata.operators.windows import global_rank
 SITE_ATTRIBUTES = ["site_id", "site_name", "location", "primary_mineral"]
 
 
-def production_measures(production: DataFrame, *by: str) -> DataFrame:
-    """Additive measures per group; sums of these rows are sums of their readings."""
-    return production.groupBy(*by).agg(
+def site_day_measures(production: DataFrame, *extra: Column) -> DataFrame:
+    """Additive measures per site and day; sums of these rows are sums of their readings."""
+    return production.groupBy("site_id", "production_date").agg(
         F.sum("tons_extracted").alias("tons"),
-        fraction_sum("mineral_grade_percent").alias("grade_sum"),
+        F.sum(whole("mineral_grade_percent", MILLIONTHS)).alias("grade_sum"),
         F.count("mineral_grade_percent").alias("grade_count"),
-        money_sum("total_cost_usd").alias("cost"),
+        F.sum(whole("total_cost_usd", CENTS)).alias("cost_cents"),
         F.sum("operating_hours").alias("hours"),
         F.count(F.lit(1)).alias("readings"),
+        *extra,
     )
 
 
-def site_day_measures(production: DataFrame) -> DataFrame:
-    return production_measures(production, "site_id", "production_date")
+def merge_site_days(measures: DataFrame) -> DataFrame:
+    """Daily production summary from site-day measures of one or more loads."""
+    return measures.groupBy("site_id", "production_date").agg(
+        F.sum("tons").alias("total_tons"),
+        _grade_over_rows().alias("avg_grade"),
+        _cost_over_rows().alias("total_cost"),
+        F.sum("readings").alias("record_count"),
+    )
 
 
 def _grade() -> Column:
-    return exact_avg(F.col("grade_sum"), F.col("grade_count"))
+    return exact_avg("grade_sum", "grade_count")
+
+
+def _cost() -> Column:
+    return from_units("cost_cents", CENTS)
+
 
+def _grade_over_rows() -> Column:
+    return exact_avg(wide_sum("grade_sum"), F.sum("grade_count"))
 
-def _usd(name: str) -> Column:
-    return F.col(name).cast("double")
+
+def _cost_over_rows() -> Column:
+    return from_units(wide_sum("cost_cents"), CENTS)
 
 
 def site_day_rollup(production: DataFrame) -> DataFrame:
@@ -56,7 +77,7 @@ def site_day_rollup(production: DataFrame) -> DataFrame:
         "production_date",
         F.col("tons").alias("total_tons"),
         _grade().alias("avg_grade"),
-        _usd("cost").alias("total_cost"),
+        _cost().alias("total_cost"),
         F.col("readings").alias("record_count"),
     )
 
@@ -73,7 +94,7 @@ def production_by_site(production: DataFrame, sites: DataFrame) -> DataFrame:
             "production_date",
             F.col("tons").alias("tons_extracted"),
             _grade().alias("avg_grade_percent"),
-            _usd("cost").alias("total_cost_usd"),
+            _cost().alias("total_cost_usd"),
             F.col("hours").alias("operating_hours"),
             F.col("readings").alias("record_count"),
         )
@@ -89,9 +110,9 @@ def production_by_mineral(production: DataFrame, sites: DataFrame) -> DataFrame:
         .agg(
             F.count("site_id").alias("site_count"),
             F.sum("tons").alias("total_tons_extracted"),
-            exact_avg(F.sum("grade_sum"), F.sum("grade_count")).alias("avg_grade_percent"),
-            F.sum("cost").cast("double").alias("total_cost_usd"),
-            safe_ratio(F.sum("cost").cast("double"), F.sum("tons")).alias("avg_cost_per_ton_usd"),
+            _grade_over_rows().alias("avg_grade_percent"),
+            _cost_over_rows().alias("total_cost_usd"),
+            safe_ratio(_cost_over_rows(), F.sum("tons")).alias("avg_cost_per_ton_usd"),
         )
     )
 
@@ -103,8 +124,8 @@ def executive_daily(production: DataFrame) -> DataFrame:
         .groupBy(F.col("production_date").alias("report_date"))
         .agg(
             F.sum("tons").alias("total_tons_extracted"),
-            F.sum("cost").cast("double").alias("total_production_cost_usd"),
-            safe_ratio(F.sum("cost").cast("double"), F.sum("tons")).alias("blended_cost_per_ton_usd"),
+            _cost_over_rows().alias("total_production_cost_usd"),
+            safe_ratio(_cost_over_rows(), F.sum("tons")).alias("blended_cost_per_ton_usd"),
             F.count("site_id").alias("sites_reporting_production"),
         )
     )
@@ -115,13 +136,22 @@ def site_performance(
 ) -> DataFrame:
     """Sites by their tons of the last ``days`` days, ranked."""
     recent = production.filter(within_days(as_of, days, "production_date", "production_datetime"))
-    ranked = global_rank(production_measures(recent, "site_id"), "tons", "tons_rank")
-    return ranked.join(sites, "site_id").select(
+    totals = (
+        site_day_measures(recent)
+        .groupBy("site_id")
+        .agg(
+            F.sum("tons").alias("tons_last_30d"),
+            _cost_over_rows().alias("cost_last_30d_usd"),
+            safe_ratio(_cost_over_rows(), F.sum("tons")).alias("cost_per_ton_30d_usd"),
+            _grade_over_rows().alias("avg_grade_percent_30d"),
+        )
+    )
+    return global_rank(totals, "tons_last_30d", "tons_rank").join(sites, "site_id").select(
         *SITE_ATTRIBUTES,
-        F.col("tons").alias("tons_last_30d"),
-        _usd("cost").alias("cost_last_30d_usd"),
-        safe_ratio(_usd("cost"), F.col("tons")).alias("cost_per_ton_30d_usd"),
-        _grade().alias("avg_grade_percent_30d"),
+        "tons_last_30d",
+        "cost_last_30d_usd",
+        "cost_per_ton_30d_usd",
+        "avg_grade_percent_30d",
         "tons_rank",
     )
 
@@ -136,9 +166,7 @@ def equipment_health_by_site(current: DataFrame, sites: DataFrame, as_of: dt.dat
             F.count_if(F.col("status") == "Needs Attention").alias("needs_attention_count"),
             F.count_if(F.col("status") == "Monitor").alias("monitor_count"),
             safe_ratio(F.sum("health_score").cast("double"), F.count("health_score")).alias("avg_health_score"),
-            money_sum("annual_maintenance_cost_usd")
-            .cast("double")
-            .alias("total_annual_maintenance_cost_usd"),
+            money_sum("annual_maintenance_cost_usd").alias("total_annual_maintenance_cost_usd"),
             F.count_if(F.col("next_maintenance_date") <= F.lit(as_of)).alias("maintenance_overdue_count"),
         )
         .join(sites.select("site_id", "site_name", "primary_mineral"), "site_id")

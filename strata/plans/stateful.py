@@ -228,7 +228,7 @@ def load_incremental(spark, sf_dir):
     early = readings.filter(F.col("production_datetime") < _ntz(MID_READINGS))
     for source in (early, readings, readings):
         loads.load_incremental(source, root, "production_datetime", date_col="production_date")
-    return loads.merge_site_days(versions.read(spark, root))
+    return marts.merge_site_days(versions.read(spark, root))
 
 
 def _publish_closing(spark, sf_dir, root, closing: int):

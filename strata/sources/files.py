@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,11 @@ from pyspark.sql.types import StructType
 TARGETS_SCHEMA = "site_id bigint, site_name string, monthly_target_tons int"
 
 
+def small_frame(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
+    """A few rows of metadata; sent as Arrow, which starts no Python worker."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
     """The DataFrame, or None while its path does not exist yet."""
     try:

@@ -10,13 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StringType, StructField, StructType
 
-from strata.sources.files import if_present
+from strata.sources.files import if_present, small_frame
 
 # Evolution modes, formats without types of their own, the extra column.
 MODES = ("add_new_columns", "rescue", "fail_on_new_columns", "none")
 TEXT_FORMATS = ("json", "csv")
 RESCUED = "_rescued_data"
-STORE_SCHEMA = "revision long, table_schema string, checked_at timestamp"
+STORE_SCHEMA = "revision long, table_schema string, checked_at timestamp_ntz"
 
 
 def saved_schema(spark: SparkSession, path: str) -> tuple[StructType, dt.datetime, int] | None:
@@ -29,7 +29,9 @@ def saved_schema(spark: SparkSession, path: str) -> tuple[StructType, dt.datetim
 
 
 def save_schema(spark: SparkSession, path: str, schema: StructType, checked_at: dt.datetime, revision: int) -> None:
-    row = spark.createDataFrame([(revision, schema.json(), checked_at)], STORE_SCHEMA)
+    row = small_frame(
+        spark, {"revision": [revision], "table_schema": [schema.json()], "checked_at": [checked_at]}
+    )
     row.coalesce(1).write.mode("append").json(path)
 
 

@@ -13,13 +13,14 @@ import datetime as dt
 import json
 from collections.abc import Callable, Collection, Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strata.functions.scalars import run_stamp
 from strata.operators.changes import change_feed
-from strata.sources.files import if_present
+from strata.sources.files import if_present, small_frame
 
 WHOLE = "p"
 LOG_SCHEMA = "version long, part string, empty boolean, op string, table_schema string, committed_at timestamp"
@@ -79,11 +80,16 @@ def commit(
 ) -> None:
     """Make a staged version visible. Replaced parts without data become empty."""
     parts = set(parts)
-    rows = [(version, p, p not in parts, op) for p in sorted(parts | set(replaces))]
-    frame = spark.createDataFrame(rows, "version long, part string, empty boolean, op string")
+    names = sorted(parts | set(replaces))
     (
-        frame.withColumns(
-            {"table_schema": F.lit(schema.json()), "committed_at": run_stamp(run_ts)}
+        small_frame(spark, {"part": names, "empty": [n not in parts for n in names]})
+        .select(
+            F.lit(version).cast("long").alias("version"),
+            "part",
+            "empty",
+            F.lit(op).alias("op"),
+            F.lit(schema.json()).alias("table_schema"),
+            run_stamp(run_ts).alias("committed_at"),
         )
         .coalesce(1)
         .write.mode("append")
@@ -177,15 +183,10 @@ def read_changes(spark: SparkSession, root: str, keys: Sequence[str], start: int
     write; parts that did not change are never read. All versions share one join.
     """
     before = Window.partitionBy("part").orderBy("version")
+    log = read_log(spark, root).filter(F.col("version") <= end)
     steps = (
-        read_log(spark, root)
-        .filter(F.col("version") <= end)
-        .groupBy("part", "version")
-        .agg(
-            F.max("empty").alias("empty"),
-            F.max("table_schema").alias("table_schema"),
-            F.min("committed_at").alias("committed_at"),
-        )
+        log.groupBy("part", "version")
+        .agg(F.max("empty").alias("empty"), F.max("table_schema").alias("table_schema"))
         .withColumns(
             {
                 "old_version": F.lag("version").over(before),
@@ -199,18 +200,21 @@ def read_changes(spark: SparkSession, root: str, keys: Sequence[str], start: int
     if schema is None:
         raise ValueError(f"no versions {start} to {end} at {root}")
     new_places = [(r["version"], r["part"]) for r in rows if not r["empty"]]
-    old_places = [(r["old_version"], r["part"]) for r in rows if not r["old_empty"]]
     columns = schema.names
 
     new = _read_places(spark, root, schema, new_places).select(*columns, F.col("_version").alias("_at"))
-    successor = spark.createDataFrame(
-        [(r["old_version"], r["part"], r["version"]) for r in rows if not r["old_empty"]],
-        "_version long, _part string, _at long",
+    replaced = [r for r in rows if not r["old_empty"]]
+    successor = small_frame(
+        spark,
+        {
+            "_version": pa.array([r["old_version"] for r in replaced], pa.int64()),
+            "_part": pa.array([r["part"] for r in replaced], pa.string()),
+            "_at": pa.array([r["version"] for r in replaced], pa.int64()),
+        },
     )
+    old_places = [(r["old_version"], r["part"]) for r in replaced]
     old = _read_places(spark, root, schema, old_places).join(successor, ["_version", "_part"])
-    commits = spark.createDataFrame(
-        sorted({(r["version"], r["committed_at"]) for r in rows}), "_at long, _committed timestamp"
-    )
+    commits = log.groupBy(F.col("version").alias("_at")).agg(F.min("committed_at").alias("_committed"))
     feed = change_feed(old.select(*columns, "_at"), new, [*keys, "_at"], F.col("_at"), F.lit(None))
     order = [*columns, "_change_type", "_commit_version"]
     return feed.join(commits, "_at").select(*order, F.col("_committed").alias("_commit_timestamp"))

@@ -91,7 +91,7 @@ def read_bronze(spark: SparkSession, dst: str, meta_dir: str) -> DataFrame:
 def _tracked_schema(spark, src, fmt, options, meta_dir, evolution, given) -> tuple[StructType, StructType]:
     """(schema to ingest with, schema found in the files)."""
     path = f"{meta_dir}/schema"
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    now = _utc_now()
     saved = schemas.saved_schema(spark, path)
     if saved is None:
         found = schemas.infer(spark, src, fmt, options, None)
@@ -109,6 +109,10 @@ def _tracked_schema(spark, src, fmt, options, meta_dir, evolution, given) -> tup
     return wanted, found
 
 
+def _utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def _first_run(spark: SparkSession, path: str) -> dt.datetime:
     """Time of the first run of this ingest."""
     saved = if_present(lambda: spark.read.schema("started_at timestamp").json(path))
@@ -158,7 +162,7 @@ def ingest_typed_files(
         for schema in groups:
             wanted = schema if wanted is None else schemas.evolve(wanted, schema, evolution)
         schemas.save_schema(
-            session, f"{meta_dir}/schema", wanted, dt.datetime.now(), saved[2] + 1 if saved else 0
+            session, f"{meta_dir}/schema", wanted, _utc_now(), saved[2] + 1 if saved else 0
         )
         rows = None
         for schema, members in groups.items():
