@@ -31,7 +31,8 @@ def merge_upsert(
     """
     if order_by is not None:
         source = latest_per_key(source, keys, order_by)
-    return delete_matching(target, source, keys).unionByName(source, allowMissingColumns=True)
+    kept = delete_matching(target, source, keys, unique=True)
+    return kept.unionByName(source, allowMissingColumns=True)
 
 
 def merge_update(
@@ -55,14 +56,22 @@ def merge_update(
     return target.alias("t").join(marked, on, "left").select(*columns)
 
 
-def delete_matching(target: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
+def delete_matching(
+    target: DataFrame, doomed: DataFrame, keys: Sequence[str], unique: bool = False
+) -> DataFrame:
     """Target rows whose key is not among the doomed."""
-    return target.join(doomed.select(*keys), list(keys), "left_anti")
+    return target.join(_key_set(doomed, keys, unique), list(keys), "left_anti")
 
 
-def semi_keys(target: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+def semi_keys(target: DataFrame, wanted: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
     """Target rows whose key is among the wanted."""
-    return target.join(wanted.select(*keys), list(keys), "left_semi")
+    return target.join(_key_set(wanted, keys, unique), list(keys), "left_semi")
+
+
+def _key_set(df: DataFrame, keys: Sequence[str], unique: bool) -> DataFrame:
+    """Each key once: copies of a hot key end in the map tasks, and the join can
+    reuse the shuffle of the distinct. Not needed where keys are unique already."""
+    return df.select(*keys) if unique else df.select(*keys).distinct()
 
 
 def change_feed(
@@ -136,9 +145,13 @@ def as_mirror_rows(changes: DataFrame) -> DataFrame:
 
 
 def cdc_mirror(target: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Apply a feed to a mirror: one pass over net changes, deletes included."""
-    net = net_changes(feed, keys)
-    return delete_matching(target, net, keys).unionByName(as_mirror_rows(net))
+    """Apply a feed to a mirror by its net changes, deletes included."""
+    return apply_net(target, net_changes(feed, keys), keys)
+
+
+def apply_net(target: DataFrame, net: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Apply net changes, one per key. They are read twice, so store costly ones first."""
+    return delete_matching(target, net, keys, unique=True).unionByName(as_mirror_rows(net))
 
 
 def audit_append(feed: DataFrame) -> DataFrame:

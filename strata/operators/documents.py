@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.scalars import stable_id
-from strata.operators.changes import DELETE, change_feed, delete_matching, net_changes, strip_meta, upserts
+from strata.operators.changes import DELETE, INSERT, POSTIMAGE, delete_matching, semi_keys, upserts
 
 # Chunk size and overlap in words.
 CHUNK_SIZE = 500
 CHUNK_OVERLAP = 100
+BLANKS = " \t\n\x0b\f\r"
 
 # What is removed from a page, then the entities that are decoded.
 BLOCKS = r"(?is)<(script|style)\b.*?</\1\s*>"
@@ -48,21 +49,22 @@ def chunk_text(
     """Overlapping word windows of whole texts: (chunk_id, path, position, content).
 
     A window opens every ``size - overlap`` words until one reaches the end; a
-    blank text has none. Each text splits where it lies, without a shuffle.
+    blank text has none. Each text splits where it lies, without a shuffle, and only
+    finished windows are carried into the rows it expands to.
     """
     stride = size - overlap
-    words = F.filter(F.split(F.col(text_col), r"\s+"), lambda w: w != "")
+    inner = F.btrim(F.col(text_col), F.lit(BLANKS))
     last = F.ceil(F.greatest(F.size("_words") - size, F.lit(0)) / stride).cast("int")
+    windows = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda i: F.array_join(F.slice("_words", i * stride + 1, size), " "),
+    )
     return (
-        df.select(F.col(id_col).alias("path"), words.alias("_words"))
-        .filter(F.size("_words") > 0)
-        .select("path", "_words", F.explode(F.sequence(F.lit(0), last)).alias("position"))
-        .select(
-            stable_id("path", "position").alias("chunk_id"),
-            "path",
-            "position",
-            F.array_join(F.slice("_words", F.col("position") * stride + 1, size), " ").alias("content"),
-        )
+        df.select(F.col(id_col).alias("path"), inner.alias("_text"))
+        .filter("_text <> ''")
+        .select("path", F.split("_text", r"\s+").alias("_words"))
+        .select("path", F.posexplode(windows).alias("position", "content"))
+        .select(stable_id("path", "position").alias("chunk_id"), "path", "position", "content")
     )
 
 
@@ -71,20 +73,36 @@ def chunk_stats(chunks: DataFrame) -> DataFrame:
     return chunks.agg(F.count(F.lit(1)).alias("chunks"), F.count_distinct("path").alias("docs"))
 
 
-def chunk_changes(old: DataFrame, new: DataFrame, version: int, commit_ts) -> DataFrame:
-    """What an index has to do: chunks to embed again and chunks to remove."""
-    return net_changes(change_feed(old, new, ["chunk_id"], version, commit_ts), ["chunk_id"])
+def chunk_changes(index: DataFrame, chunks: DataFrame) -> DataFrame:
+    """What an index has to do: (chunk_id, _change_type).
 
-
-def sync_chunks(index: DataFrame, changes: DataFrame, embed=None) -> DataFrame:
-    """Bring an index up to date; only changed chunks pass through ``embed``."""
-    fresh = strip_meta(upserts(changes))
-    fresh = fresh if embed is None else embed(fresh)
-    return delete_matching(index, changes, ["chunk_id"]).unionByName(fresh)
+    Only identifiers and digests are joined; the texts stay where they are.
+    """
+    digest = F.md5("content")
+    return (
+        index.select("chunk_id", digest.alias("_old"))
+        .join(chunks.select("chunk_id", digest.alias("_new")), ["chunk_id"], "full_outer")
+        .filter(~F.col("_old").eqNullSafe(F.col("_new")))
+        .select(
+            "chunk_id",
+            F.when(F.col("_old").isNull(), INSERT)
+            .when(F.col("_new").isNull(), DELETE)
+            .otherwise(POSTIMAGE)
+            .alias("_change_type"),
+        )
+    )
 
 
-def removed_chunks(changes: DataFrame) -> DataFrame:
-    return changes.filter(F.col("_change_type") == DELETE).select("chunk_id")
+def sync_chunks(
+    index: DataFrame,
+    chunks: DataFrame,
+    changes: DataFrame,
+    embed: Callable[[DataFrame], DataFrame] = lambda fresh: fresh,
+) -> DataFrame:
+    """Bring an index up to date; only new and changed chunks pass through ``embed``."""
+    key = ["chunk_id"]
+    fresh = embed(semi_keys(chunks, upserts(changes), key, unique=True))
+    return delete_matching(index, changes, key, unique=True).unionByName(fresh)
 
 
 def similar_topk(

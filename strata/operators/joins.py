@@ -15,5 +15,9 @@ def broadcast_if_small(df: DataFrame, counted: DataFrame | None = None, rows: in
     ``counted`` may name a cheaper table with at least as many rows, such as the
     stored table ``df`` is derived from. The count stops at the limit.
     """
-    size = (df if counted is None else counted).limit(rows + 1).count()
-    return F.broadcast(df) if size <= rows else df
+    return F.broadcast(df) if is_small(df if counted is None else counted, rows) else df
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether the table has at most ``rows`` rows."""
+    return df.limit(rows + 1).count() <= rows

@@ -99,7 +99,7 @@ def reconcile_totals(gold: DataFrame, source: DataFrame, measures: dict[str, tup
 
 def ghost_rows(gold: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Gold rows whose key has left the source."""
-    return gold.join(source.select(*keys), list(keys), "left_anti")
+    return gold.join(source.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def batch_inventory(df: DataFrame, batch: str, loaded: str) -> DataFrame:

@@ -53,6 +53,12 @@ def neighbour(
     return local.filter(~F.col("_edge")).unionByName(edges).drop("_split", "_edge", "_nearest")
 
 
+def bounded_rank(df: DataFrame, measure: str, out: str) -> DataFrame:
+    """Add ``out``: the rank by ``measure``, greatest first, in one task. For tables
+    whose row count has been checked; see ``global_rank`` for any other."""
+    return df.withColumn(out, F.rank().over(Window.orderBy(F.desc(measure))).cast("long"))
+
+
 def global_rank(df: DataFrame, measure: str, out: str, pieces: int = 64) -> DataFrame:
     """Add ``out``: the rank of each row by ``measure``, greatest first, ties equal.
 

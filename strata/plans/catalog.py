@@ -12,6 +12,7 @@ from strata import model
 from strata.functions import scalars as fx
 from strata.model import AS_OF, EQUIPMENT_KEYS, SOURCE_KEYS
 from strata.operators import changes, documents, grids, policy, quality, scd2, windows
+from strata.operators.joins import broadcast_if_small
 from strata.operators.partitions import map_partitions
 from strata.plans import marts, reports
 
@@ -354,15 +355,16 @@ def missing_site_days(spark, sf_dir):
 
 @query
 def lookup_join(spark, sf_dir):
-    """Readings priced from a lookup of the parts."""
+    """Readings priced from a lookup of the parts, counted per part before the join."""
     parts = model.table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
+    counts = model.table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    cents = F.col("n") * fx.whole("p_retailprice", fx.CENTS)
     return (
-        model.table(spark, sf_dir, "lineitem")
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        counts.join(broadcast_if_small(parts), F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("p_brand")
         .agg(
-            F.count(F.lit(1)).alias("readings"),
-            fx.money_sum("p_retailprice").alias("list_price"),
+            F.sum("n").alias("readings"),
+            fx.from_units(fx.wide_sum(cents), fx.CENTS).alias("list_price"),
         )
     )
 
@@ -620,8 +622,7 @@ def sync_chunks(spark, sf_dir):
     )
     index = documents.chunk_text(earlier, "doc_id", "text")
     fresh = documents.chunk_text(docs, "doc_id", "text")
-    todo = documents.chunk_changes(index, fresh, 1, COMMITS[1])
-    return documents.sync_chunks(index, todo)
+    return documents.sync_chunks(index, fresh, documents.chunk_changes(index, fresh))
 
 
 @query

@@ -14,12 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.scalars import run_stamp
-from strata.operators.changes import (
-    as_mirror_rows,
-    audit_append,
-    delete_matching,
-    net_changes,
-)
+from strata.operators.changes import apply_net, audit_append, net_changes
 from strata.plans.marts import site_day_measures
 from strata.sources import versions
 from strata.sources.files import if_present, small_frame
@@ -162,20 +157,15 @@ def load_cdc(
         feed.write.mode("overwrite").parquet(staged)
         feed = spark.read.schema(feed.schema).parquet(staged)
         if not feed.isEmpty():
-            net = net_changes(feed, keys)
-            _apply_net(spark, root, last, current, part, feed, net, keys, run_ts)
+            # Parts of old and new images: where a row leaves and where it arrives.
+            names = {r[0] for r in feed.select(part.alias("_part")).distinct().collect()}
+            before = versions.read(spark, root, last, names)
+            after = apply_net(before, net_changes(feed, keys), keys)
+            versions.publish(after, root, current, "merge", part, names, run_ts)
     save_state(spark, state_dir, consumer, current, run_ts)
     return current
 
 
-def _apply_net(spark, root, last, current, part, feed, net, keys, run_ts):
-    """Rewrite the parts of the mirror that old or new images fall in."""
-    names = {r[0] for r in feed.select(part.alias("_part")).distinct().collect()}
-    before = versions.read(spark, root, last, names)
-    after = delete_matching(before, net, keys).unionByName(as_mirror_rows(net))
-    versions.publish(after, root, current, "merge", part, names, run_ts)
-
-
 def load_audit(
     spark: SparkSession,
     source_root: str,

@@ -26,7 +26,8 @@ from strata.functions.scalars import (
     wide_sum,
     within_days,
 )
-from strata.operators.windows import global_rank
+from strata.operators.joins import is_small
+from strata.operators.windows import bounded_rank, global_rank
 
 SITE_ATTRIBUTES = ["site_id", "site_name", "location", "primary_mineral"]
 
@@ -146,7 +147,9 @@ def site_performance(
             _grade_over_rows().alias("avg_grade_percent_30d"),
         )
     )
-    return global_rank(totals, "tons_last_30d", "tons_rank").join(sites, "site_id").select(
+    # A total exists per site at most, so the number of sites bounds the ranking.
+    rank = bounded_rank if is_small(sites.select("site_id")) else global_rank
+    return rank(totals, "tons_last_30d", "tons_rank").join(sites, "site_id").select(
         *SITE_ATTRIBUTES,
         "tons_last_30d",
         "cost_last_30d_usd",
