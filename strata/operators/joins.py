@@ -13,11 +13,11 @@ def broadcast_if_small(df: DataFrame, counted: DataFrame | None = None, rows: in
     """``df`` marked for broadcast if it has at most ``rows`` rows, else unchanged.
 
     ``counted`` may name a cheaper table with at least as many rows, such as the
-    stored table ``df`` is derived from. The count stops at the limit.
+    stored table ``df`` is derived from: counting that reads file footers only.
     """
     return F.broadcast(df) if is_small(df if counted is None else counted, rows) else df
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether the table has at most ``rows`` rows."""
-    return df.limit(rows + 1).count() <= rows
+    return df.count() <= rows

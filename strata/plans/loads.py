@@ -117,10 +117,39 @@ def load_incremental(
             "_watermark_start": F.lit(mark.isoformat()).cast(source.schema[time_col].dataType),
         }
     )
-    versions.publish(batch, root, version, "append", versions.part_by(F.lit(version)), run_ts=run_ts)
+    versions.publish(batch, root, version, "append", versions.batch_part(version), run_ts=run_ts)
     return version
 
 
+# -- refresh of changed parts ----------------------------------------------------
+
+
+def load_changed_parts(
+    spark: SparkSession,
+    source_root: str,
+    root: str,
+    state_dir: str,
+    consumer: str,
+    build: Callable[[DataFrame], DataFrame],
+    part: Column,
+    run_ts: dt.datetime | None = None,
+) -> int | None:
+    """Refresh an aggregate by recomputing only the parts its source has rewritten.
+
+    Source and result must be cut by the same ``part`` and a result row must depend
+    on one part only, as a daily mart does on a source cut by days or months.
+    """
+    current = versions.latest_version(spark, source_root)
+    last = get_state(spark, state_dir, consumer)
+    if last is not None and last >= current:
+        return None
+    names = versions.parts_written(spark, source_root, -1 if last is None else last, current)
+    rows = versions.read(spark, source_root, current, names)
+    versions.publish(build(rows), root, current, "refresh", part, names, run_ts)
+    save_state(spark, state_dir, consumer, current, run_ts)
+    return current
+
+
 # -- change consumers ------------------------------------------------------------
 
 
@@ -131,7 +160,7 @@ def load_cdc(
     state_dir: str,
     consumer: str,
     keys: Sequence[str],
-    part: Column | None = None,
+    part: Column | str = versions.WHOLE,
     run_ts: dt.datetime | None = None,
 ) -> int | None:
     """Keep a mirror of a versioned source, deletes included.
@@ -142,7 +171,6 @@ def load_cdc(
     """
     current = versions.latest_version(spark, source_root)
     last = get_state(spark, state_dir, consumer)
-    part = F.lit(versions.WHOLE) if part is None else part
     if last is None or versions.latest_version(spark, root) is None:
         start = versions.read(spark, source_root, current).withColumns(
             {"_cdc_type": F.lit("insert"), "_cdc_timestamp": run_stamp(run_ts)}
@@ -158,7 +186,7 @@ def load_cdc(
         feed = spark.read.schema(feed.schema).parquet(staged)
         if not feed.isEmpty():
             # Parts of old and new images: where a row leaves and where it arrives.
-            names = {r[0] for r in feed.select(part.alias("_part")).distinct().collect()}
+            names = versions.part_names(feed, part)
             before = versions.read(spark, root, last, names)
             after = apply_net(before, net_changes(feed, keys), keys)
             versions.publish(after, root, current, "merge", part, names, run_ts)
@@ -178,7 +206,7 @@ def load_audit(
     """Append inserted and updated rows of a versioned source; never remove any."""
     current = versions.latest_version(spark, source_root)
     last = get_state(spark, state_dir, consumer)
-    batch = versions.part_by(F.lit(current))
+    batch = versions.batch_part(current)
     if last is None or versions.latest_version(spark, root) is None:
         start = versions.read(spark, source_root, current).withColumns(
             {

@@ -417,6 +417,7 @@ ORACLE |= {
     "stream_scd2": plain("history"),
     "load_full": plain("daily"),
     "load_incremental": plain("daily"),
+    "load_changed_parts": plain("daily"),
     "load_cdc": ORACLE["cdc_mirror"],
     "load_audit": plain("audit"),
     "load_state": build("audit", body="""SELECT unnest(['mirror', 'audit']) AS table_name,

@@ -231,6 +231,21 @@ def load_incremental(spark, sf_dir):
     return marts.merge_site_days(versions.read(spark, root))
 
 
+@query
+def load_changed_parts(spark, sf_dir):
+    """A daily summary cut by year, refreshed after later years were delivered."""
+    work = scratch_dir(spark, "refresh")
+    readings = model.production(spark, sf_dir)
+    early = F.col("production_datetime") < _ntz(MID_READINGS)
+    later_years = F.col("production_datetime") >= _ntz(dt.datetime(1999, 1, 1))
+    for version, rows in enumerate((readings.filter(early), readings.filter(later_years))):
+        versions.publish(rows, f"{work}/source", version, "delivery", _by_year())
+        loads.load_changed_parts(
+            spark, f"{work}/source", f"{work}/daily", f"{work}/state", "daily", marts.site_day_rollup, _by_year()
+        )
+    return versions.read(spark, f"{work}/daily")
+
+
 def _publish_closing(spark, sf_dir, root, closing: int):
     """The order book of one closing as the next version, in parts by year."""
     versions.publish(
@@ -291,7 +306,7 @@ def load_state(spark, sf_dir):
 
     def consume(source, work):
         args = (spark, source)
-        loads.load_cdc(*args, f"{work}/mirror", f"{work}/state", "mirror", SOURCE_KEYS, None, COMMITS[0])
+        loads.load_cdc(*args, f"{work}/mirror", f"{work}/state", "mirror", SOURCE_KEYS, run_ts=COMMITS[0])
         loads.load_audit(*args, f"{work}/audit", f"{work}/state", "audit", SOURCE_KEYS, COMMITS[0])
 
     work = _follow(spark, sf_dir, consume)

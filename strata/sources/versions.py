@@ -33,6 +33,11 @@ def part_by(value: Column | str) -> Column:
     return F.concat(F.lit("p"), F.coalesce(value.cast("string"), F.lit("-none")))
 
 
+def batch_part(version: int) -> str:
+    """The part of an appended batch."""
+    return f"p{version}"
+
+
 def part_by_key(keys: Sequence[str], buckets: int) -> Column:
     """Part name from a hash of the key, for tables without a natural partition."""
     return part_by(F.pmod(F.xxhash64(*keys), F.lit(buckets)))
@@ -47,6 +52,11 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return None if log is None else log.agg(F.max("version")).first()[0]
 
 
+def version_at(spark: SparkSession, root: str, moment: dt.datetime) -> int | None:
+    """The version that was current at a time."""
+    return read_log(spark, root).filter(F.col("committed_at") <= F.lit(moment)).agg(F.max("version")).first()[0]
+
+
 def history(spark: SparkSession, root: str) -> DataFrame:
     """One row per version: what was done, when, and how many parts it wrote."""
     return read_log(spark, root).groupBy("version").agg(
@@ -56,16 +66,20 @@ def history(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def stage(df: DataFrame, root: str, version: int, part: Column | None = None) -> DataFrame:
-    """Write the data of a version and return the parts it holds. Not yet visible."""
+def stage(df: DataFrame, root: str, version: int, part: Column | str = WHOLE) -> list[str]:
+    """Write the data of a version and return the names of its parts. Not yet visible.
+
+    A ``part`` given by name takes all rows, without a shuffle.
+    """
     path = f"{root}/data/_version={version}"
-    if part is None:
-        df.withColumn("_part", F.lit(WHOLE)).write.mode("overwrite").partitionBy("_part").parquet(path)
-    else:
-        # Rebalancing by part gives few files per part and splits a large part.
-        placed = df.withColumn("_part", part).hint("rebalance", F.col("_part"))
-        placed.write.mode("overwrite").partitionBy("_part").parquet(path)
-    return df.sparkSession.read.schema("_part string").parquet(path).distinct()
+    if isinstance(part, str):
+        df.write.mode("overwrite").parquet(f"{path}/_part={part}")
+        return [part]
+    # Rebalancing by part gives few files per part and splits a large part.
+    placed = df.withColumn("_part", part).hint("rebalance", F.col("_part"))
+    placed.write.mode("overwrite").partitionBy("_part").parquet(path)
+    written = df.sparkSession.read.schema("_part string").parquet(path)
+    return [r[0] for r in written.distinct().collect()]
 
 
 def commit(
@@ -102,14 +116,26 @@ def publish(
     root: str,
     version: int,
     op: str,
-    part: Column | None = None,
+    part: Column | str = WHOLE,
     replaces: Iterable[str] = (),
     run_ts: dt.datetime | None = None,
 ) -> None:
     """Write a version and make it visible."""
-    parts = [r[0] for r in stage(df, root, version, part).collect()]
-    gone = set(replaces) if part is not None else {WHOLE, *replaces}
-    commit(df.sparkSession, root, version, op, df.schema, parts, gone, run_ts)
+    parts = stage(df, root, version, part)
+    commit(df.sparkSession, root, version, op, df.schema, parts, replaces, run_ts)
+
+
+def part_names(rows: DataFrame, part: Column | str) -> set[str]:
+    """The parts that rows fall in."""
+    if isinstance(part, str):
+        return {part}
+    return {r[0] for r in rows.select(part.alias("_part")).distinct().collect()}
+
+
+def parts_written(spark: SparkSession, root: str, after: int, upto: int) -> set[str]:
+    """The parts written by the versions after one and up to another."""
+    log = read_log(spark, root).filter((F.col("version") > after) & (F.col("version") <= upto))
+    return {r[0] for r in log.select("part").distinct().collect()}
 
 
 def create_once(spark: SparkSession, root: str, schema: StructType, run_ts: dt.datetime | None = None) -> bool:
@@ -171,7 +197,7 @@ def rewrite(
     "Before" is the state of the preceding version, whatever a failed attempt at
     this one left behind, so a repeated write gives the same version.
     """
-    names = {r[0] for r in touched.select(part.alias("_part")).distinct().collect()}
+    names = part_names(touched, part)
     before = read(spark, root, version - 1, names)
     publish(build(before), root, version, op, part, names, run_ts)
 

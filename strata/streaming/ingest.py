@@ -103,7 +103,9 @@ def _tracked_schema(spark, src, fmt, options, meta_dir, evolution, given) -> tup
         schemas.save_schema(spark, path, wanted, now, 0)
         return wanted, found
     known, checked_at, revision = saved
-    found = schemas.infer(spark, src, fmt, options, checked_at) or known
+    # With a fixed schema there is nothing to learn from the files.
+    found = None if evolution == "none" else schemas.infer(spark, src, fmt, options, checked_at)
+    found = found or known
     wanted = schemas.evolve(known, found, evolution)
     schemas.save_schema(spark, path, wanted, now, revision + 1)
     return wanted, found
@@ -170,7 +172,7 @@ def ingest_typed_files(
             rows = one if rows is None else rows.unionByName(one)
         if rules:
             rows = expect_fail(rows, rules)
-        versions.publish(rows, root, batch_id, "append", versions.part_by(F.lit(batch_id)))
+        versions.publish(rows, root, batch_id, "append", versions.batch_part(batch_id))
 
     writer = names.writeStream.foreachBatch(load).option("checkpointLocation", f"{meta_dir}/checkpoint")
     return run(writer, trigger)
@@ -219,5 +221,5 @@ def copy_into(spark: SparkSession, src: str, root: str, fmt: str = "parquet", op
     if not paths:
         return 0
     rows = spark.read.format(fmt).options(**(options or {})).load(paths)
-    versions.publish(rows, root, version, "copy", versions.part_by(F.lit(version)))
+    versions.publish(rows, root, version, "copy", versions.batch_part(version))
     return len(paths)

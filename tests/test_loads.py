@@ -29,7 +29,7 @@ V2 = [(1, "tue", 5), (4, "wed", 2)]
 
 
 def mirror(spark, path, parts=True):
-    part = by_day() if parts else None
+    part = by_day() if parts else versions.WHOLE
     return loads.load_cdc(spark, path("src"), path("mirror"), path("state"), "m", KEYS, part)
 
 
@@ -91,6 +91,28 @@ def test_audit_never_shrinks_and_repeats_nothing(spark, path, monkeypatch):
     assert states == {"a": 2}
 
 
+def test_refresh_recomputes_only_changed_parts(spark, path):
+    seen = []
+
+    def build(df):
+        seen.append({r["day"] for r in df.select("day").distinct().collect()})
+        return df.groupBy("day").agg(F.sum("v").alias("v"))
+
+    def refresh():
+        return loads.load_changed_parts(
+            spark, path("src"), path("gold"), path("state"), "g", build, by_day()
+        )
+
+    put(spark, path("src"), 0, V0)
+    assert refresh() == 0 and refresh() is None
+    versions.publish(
+        spark.createDataFrame([(3, "tue", 4)], SCHEMA), path("src"), 1, "merge", by_day(), ["ptue", "pmon"]
+    )
+    assert refresh() == 1
+    assert seen == [{"mon", "tue"}, {"tue"}]
+    assert [tuple(r) for r in versions.read(spark, path("gold")).collect()] == [("tue", 4)]
+
+
 READING = (
     "site_id int, production_datetime timestamp_ntz, production_date date, tons_extracted int,"
     " mineral_grade_percent double, operating_hours double, total_cost_usd double"

@@ -23,11 +23,13 @@ def test_staged_data_is_invisible_until_committed(spark, path):
     root = path("t")
     versions.publish(frame(spark, [(1, "a", 1)]), root, 0, "first")
     newer = frame(spark, [(1, "a", 2)])
-    parts = [r[0] for r in versions.stage(newer, root, 1).collect()]
+    parts = versions.stage(newer, root, 1)
     assert rows(versions.read(spark, root)) == [(1, "a", 1)]
     versions.commit(spark, root, 1, "second", newer.schema, parts)
     assert rows(versions.read(spark, root)) == [(1, "a", 2)]
     assert rows(versions.read(spark, root, 0)) == [(1, "a", 1)]
+    assert versions.version_at(spark, root, dt.datetime.now() + dt.timedelta(days=1)) == 1
+    assert versions.version_at(spark, root, dt.datetime(2000, 1, 1)) is None
 
 
 def test_a_version_touches_only_its_parts(spark, path):
