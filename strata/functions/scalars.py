@@ -94,6 +94,11 @@ def json_path(document: Column | str, path: str, data_type: str = "string") -> C
     return F.get_json_object(_col(document), path).try_cast(data_type)
 
 
+def json_size(document: Column | str, path: str) -> Column:
+    """Number of elements of a JSON array inside a document, such as its pages."""
+    return F.json_array_length(F.get_json_object(_col(document), path))
+
+
 def stable_id(*parts: Column | str) -> Column:
     """Repeatable identifier of the given parts (a retried task writes the same one)."""
     return F.sha2(F.concat_ws("|", *[_col(p).cast("string") for p in parts]), 256)

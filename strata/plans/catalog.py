@@ -559,6 +559,12 @@ def masked_costs(spark, sf_dir):
     return policy.apply_policy(daily, masks={"total_cost": policy.mask_total_cost("total_cost", set())})
 
 
+@query
+def masked_latest_days(spark, sf_dir):
+    """The newest masked rows, as a reader outside finance sees them."""
+    return reports.latest_days(masked_costs(spark, sf_dir))
+
+
 @query
 def mask_cost(spark, sf_dir):
     """The mask as an SQL function, for readers inside and outside finance."""

@@ -1,5 +1,8 @@
 """Gold marts. All production marts roll up one additive site-day table.
 
+Those marts take either readings or the site-day table (``site_day_measures``) that a
+gold run computes once and stores, so that one pass over the readings serves all.
+
 Aggregating to site and day before the joins keeps the only large shuffle at one
 row per (site, day) and map task, whatever share of the readings one site holds.
 Grade and cost are summed as millionths and cents: 64 bits hold 9e16 USD per site
@@ -45,6 +48,11 @@ def site_day_measures(production: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
+def _measures(production: DataFrame) -> DataFrame:
+    """Site-day measures of readings; measures pass through."""
+    return production if "cost_cents" in production.columns else site_day_measures(production)
+
+
 def merge_site_days(measures: DataFrame) -> DataFrame:
     """Daily production summary from site-day measures of one or more loads."""
     return measures.groupBy("site_id", "production_date").agg(
@@ -73,7 +81,7 @@ def _cost_over_rows() -> Column:
 
 def site_day_rollup(production: DataFrame) -> DataFrame:
     """Daily production summary: site and day."""
-    return site_day_measures(production).select(
+    return _measures(production).select(
         "site_id",
         "production_date",
         F.col("tons").alias("total_tons"),
@@ -86,7 +94,7 @@ def site_day_rollup(production: DataFrame) -> DataFrame:
 def production_by_site(production: DataFrame, sites: DataFrame) -> DataFrame:
     """Daily production with the attributes of its site."""
     return (
-        site_day_measures(production)
+        _measures(production)
         .join(sites, "site_id")
         .select(
             *SITE_ATTRIBUTES,
@@ -105,7 +113,7 @@ def production_by_site(production: DataFrame, sites: DataFrame) -> DataFrame:
 def production_by_mineral(production: DataFrame, sites: DataFrame) -> DataFrame:
     """Daily production per mineral. A site has one row per day, so rows count sites."""
     return (
-        site_day_measures(production)
+        _measures(production)
         .join(sites.select("site_id", "primary_mineral"), "site_id")
         .groupBy("primary_mineral", "production_date")
         .agg(
@@ -121,7 +129,7 @@ def production_by_mineral(production: DataFrame, sites: DataFrame) -> DataFrame:
 def executive_daily(production: DataFrame) -> DataFrame:
     """Totals, blended cost and reporting sites per day."""
     return (
-        site_day_measures(production)
+        _measures(production)
         .groupBy(F.col("production_date").alias("report_date"))
         .agg(
             F.sum("tons").alias("total_tons_extracted"),
@@ -136,9 +144,9 @@ def site_performance(
     production: DataFrame, sites: DataFrame, as_of: dt.date, days: int = 30
 ) -> DataFrame:
     """Sites by their tons of the last ``days`` days, ranked."""
-    recent = production.filter(within_days(as_of, days, "production_date", "production_datetime"))
+    recent = production.filter(within_days(as_of, days, "production_date"))
     totals = (
-        site_day_measures(recent)
+        _measures(recent)
         .groupBy("site_id")
         .agg(
             F.sum("tons").alias("tons_last_30d"),

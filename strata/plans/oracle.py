@@ -363,6 +363,8 @@ ORACLE: dict[str, str] = {
     # governance
     "masked_costs": build("daily", body="""SELECT * REPLACE (round(total_cost / 1000) * 1000 AS total_cost)
       FROM daily"""),
+    "masked_latest_days": build("daily", body="""SELECT * REPLACE (round(total_cost / 1000) * 1000 AS total_cost)
+      FROM daily ORDER BY production_date DESC, site_id LIMIT 10"""),
     "mask_cost": build("source", body="""SELECT order_id, total_cost_usd AS finance_cost,
       round(total_cost_usd / 1000) * 1000 AS other_cost FROM source"""),
     "filtered_risk": build("risk", body="SELECT * FROM risk WHERE site_status = 'Active'"),
@@ -415,6 +417,8 @@ ORACLE |= {
     "stream_table": ORACLE["silver_cleanse"],
     "stream_upsert": plain("fleet"),
     "stream_scd2": plain("history"),
+    "layers_production_by_site": ORACLE["production_by_site"],
+    "layers_maintenance_due": f"SELECT * FROM ({ORACLE['maintenance_due']}) WHERE equipment_id > 0",
     "load_full": plain("daily"),
     "load_incremental": plain("daily"),
     "load_changed_parts": plain("daily"),

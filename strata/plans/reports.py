@@ -41,6 +41,11 @@ def top_site_last_month(daily: DataFrame, as_of: dt.date) -> DataFrame:
     return top_sites(_last_full_month(daily, as_of), 1)
 
 
+def latest_days(daily: DataFrame, k: int = 10) -> DataFrame:
+    """The newest rows of the daily summary."""
+    return daily.orderBy(F.desc("production_date"), "site_id").limit(k)
+
+
 def low_health(risk: DataFrame, below: int = 70) -> DataFrame:
     """Equipment under a health score."""
     return risk.filter(F.col("health_score") < below)
