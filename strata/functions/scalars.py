@@ -94,6 +94,11 @@ def json_path(document: Column | str, path: str, data_type: str = "string") -> C
     return F.get_json_object(_col(document), path).try_cast(data_type)
 
 
+def variant_path(document: Column | str, path: str, data_type: str = "string") -> Column:
+    """The same through a parsed VARIANT, which keeps types and nested values apart."""
+    return F.try_variant_get(F.try_parse_json(_col(document)), path, data_type)
+
+
 def json_size(document: Column | str, path: str) -> Column:
     """Number of elements of a JSON array inside a document, such as its pages."""
     return F.json_array_length(F.get_json_object(_col(document), path))

@@ -282,6 +282,13 @@ def json_path(spark, sf_dir):
     )
 
 
+@query
+def variant_path(spark, sf_dir):
+    return model.table(spark, sf_dir, "events").select(
+        "event_id", fx.variant_path("props", "$.k", "bigint").alias("k")
+    )
+
+
 # -- quality ---------------------------------------------------------------------
 
 
@@ -539,7 +546,7 @@ def get_watermark(spark, sf_dir):
 
 @query
 def align_schema(spark, sf_dir):
-    """Line items in the types and order of the production table's reference schema."""
+    """Readings in the types and order declared for the production table."""
     from pyspark.sql.types import StructType
 
     wanted = StructType.fromDDL(

@@ -272,6 +272,7 @@ ORACLE: dict[str, str] = {
         '[^a-z0-9]+', '_', 'g'), '_') AS slug FROM customer""",
     "json_path": """SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
         CAST(length(props) AS INTEGER) AS props_length FROM events""",
+    "variant_path": """SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",
     # quality
     "expect_fail": plain("equipment"),
     "expect_drop": build("equipment", body="""SELECT * FROM equipment

@@ -25,8 +25,8 @@ FILE_COLUMNS = "path string, modificationTime timestamp, length long, content bi
 
 
 def run(writer, trigger: str) -> int | StreamingQuery:
-    """Start a stream: catch up and return the rows read, or keep it running every
-    ``trigger`` (such as ``1 minute``) and return its handle."""
+    """Start a stream: catch up and return the rows read (of its last 100 steps), or
+    keep it running every ``trigger`` (such as ``1 minute``) and return its handle."""
     if trigger != AVAILABLE_NOW:
         return writer.trigger(processingTime=trigger).start()
     stream = writer.trigger(availableNow=True).start()

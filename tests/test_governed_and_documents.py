@@ -112,6 +112,9 @@ def test_scalars(spark):
     assert row[0] == "john_o_brien_lan" and row[1] is None
     events = spark.createDataFrame([('{"k": 5}',), ('{"k": "x"}',), ("broken",)], "p string")
     assert [r[0] for r in events.select(fx.json_path("p", "$.k", "int")).collect()] == [5, None, None]
+    assert [r[0] for r in events.select(fx.variant_path("p", "$.k", "int")).collect()] == [5, None, None]
+    pages = spark.createDataFrame([('{"document": {"pages": [1, 2, 3]}}',)], "p string")
+    assert pages.select(fx.json_size("p", "$.document.pages")).first()[0] == 3
 
 
 def test_dispatch_runs_one_task_per_id(spark):

@@ -38,6 +38,16 @@ def test_each_file_is_read_once(spark, path, fmt):
     assert bronze(spark, path).filter("_rescued_data is not null").isEmpty()
 
 
+def test_binary_files_as_a_stream(spark, path):
+    os.makedirs(path("src"))
+    for name in "ab":
+        with open(f"{path('src')}/{name}.bin", "wb") as f:
+            f.write(name.encode() * 3)
+    assert (run(spark, path, "binaryFile"), run(spark, path, "binaryFile")) == (2, 0)
+    rows = bronze(spark, path).select("content", "length").collect()
+    assert sorted(bytes(r["content"]) for r in rows) == [b"aaa", b"bbb"]
+
+
 def test_new_columns_by_mode(spark, path):
     drop(spark, path, [(1,)], "k bigint")
     run(spark, path)
