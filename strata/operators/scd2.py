@@ -27,7 +27,10 @@ def _split_for(df: DataFrame, sequence_by: str) -> Column | None:
     kind = df.schema[sequence_by].dataType
     if isinstance(kind, DateType):
         return None
-    if isinstance(kind, (TimestampType, TimestampNTZType)):
+    if isinstance(kind, TimestampNTZType):
+        # Counted without a zone: through one, a skipped hour would change the order.
+        return F.unix_date(F.col(sequence_by).cast("date")) * 24 + F.hour(sequence_by)
+    if isinstance(kind, TimestampType):
         return F.date_trunc("hour", F.col(sequence_by))
     if isinstance(kind, IntegralType):
         return F.floor(F.col(sequence_by) / 100_000)

@@ -48,9 +48,13 @@ def neighbour(
         .withColumn("_edge", step(F.lit(True)).over(in_piece).isNull())
         .withColumn("_nearest", nearest)
     )
-    across = Window.partitionBy(*keys).orderBy("_split")
-    edges = local.filter("_edge").withColumn(out, step("_nearest").over(across))
-    return local.filter(~F.col("_edge")).unionByName(edges).drop("_split", "_edge", "_nearest")
+    # The edge rows of a key meet in one group, one per piece; all others stay in
+    # their pieces. One plan without branches, so nothing is computed twice.
+    groups = local.withColumn("_group", F.when(~F.col("_edge"), F.col("_split")))
+    beyond = step("_nearest").over(Window.partitionBy(*keys, "_group").orderBy("_split"))
+    return groups.withColumn(out, F.when(F.col("_edge"), beyond).otherwise(F.col(out))).drop(
+        "_split", "_edge", "_nearest", "_group"
+    )
 
 
 def bounded_rank(df: DataFrame, measure: str, out: str) -> DataFrame:

@@ -430,6 +430,15 @@ def scd2_subset(spark, sf_dir):
     )
 
 
+@query
+def scd2_timestamps(spark, sf_dir):
+    """What each user last did, as intervals: a sequence finer than days."""
+    events = model.table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "event_id")
+    return scd2.scd2_history(
+        events, ["user_id"], "ts", [F.desc("event_id")], tracked=["event_type"]
+    )
+
+
 @query
 def scd2_current(spark, sf_dir):
     return scd2.scd2_current(_history(spark, sf_dir))
@@ -590,19 +599,20 @@ def filtered_risk(spark, sf_dir):
     )
 
 
-def _partial_tons(batches):
-    for pdf in batches:
-        grouped = pdf.groupby("site_id", as_index=False).agg(
-            tons=("tons_extracted", "sum"), readings=("tons_extracted", "size")
-        )
-        yield grouped.astype({"tons": "int64", "readings": "int64"})
-
-
 @query
 def partition_dispatch(spark, sf_dir):
     """Python partial sums per batch, merged by Spark."""
+
+    # A local function travels to the workers whole; they need not have this package.
+    def partial_tons(batches):
+        for pdf in batches:
+            grouped = pdf.groupby("site_id", as_index=False).agg(
+                tons=("tons_extracted", "sum"), readings=("tons_extracted", "size")
+            )
+            yield grouped.astype({"tons": "int64", "readings": "int64"})
+
     readings = model.production(spark, sf_dir).select("site_id", "tons_extracted")
-    partial = map_partitions(readings, _partial_tons, "site_id long, tons long, readings long")
+    partial = map_partitions(readings, partial_tons, "site_id long, tons long, readings long")
     return partial.groupBy("site_id").agg(F.sum("tons").alias("tons"), F.sum("readings").alias("readings"))
 
 

@@ -321,6 +321,12 @@ ORACLE: dict[str, str] = {
       FROM (SELECT equipment_id, site_id, last_maintenance_date, status FROM versions
         QUALIFY lag(status) OVER (PARTITION BY equipment_id, site_id ORDER BY last_maintenance_date)
           IS DISTINCT FROM status)"""),
+    "scd2_timestamps": """
+      SELECT *, ts AS "__START_AT", lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS "__END_AT"
+      FROM (SELECT user_id, ts, event_type FROM (
+              SELECT * FROM events QUALIFY row_number() OVER (
+                PARTITION BY user_id, ts ORDER BY event_id DESC) = 1)
+        QUALIFY lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) IS DISTINCT FROM event_type)""",
     "scd2_current": build("history", body='SELECT * FROM history WHERE "__END_AT" IS NULL'),
     "scd2_as_of": build("history", body="""SELECT * FROM history WHERE "__START_AT" <= DATE '1999-01-01'
       AND ("__END_AT" IS NULL OR "__END_AT" > DATE '1999-01-01')"""),

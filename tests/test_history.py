@@ -49,6 +49,19 @@ def test_history_equals_the_model(spark, kind):
     assert sorted((tuple(r) for r in subset.collect()), key=repr) == want
 
 
+def test_zone_free_sequence_across_a_skipped_hour(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        start = dt.datetime(2024, 3, 10)
+        rows = [(1, start + dt.timedelta(minutes=15 * i), i, "x") for i in range(40)]
+        df = spark.createDataFrame(rows, "k int, seq timestamp_ntz, event int, state string")
+        got = scd2.scd2_history(df, ["k"], "seq", [F.desc("event")])
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == model(rows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_arrival_order_does_not_matter(spark):
     rng = random.Random(7)
     rows = events(rng, "date", 200)
