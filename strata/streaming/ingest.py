@@ -51,7 +51,8 @@ def ingest_files(
     """Append the files of ``src`` not seen before to the parquet table ``dst``.
 
     The schema is inferred on the first run (unless given) and kept in ``meta_dir``;
-    later runs look only at files that changed since. Values of text formats that
+    later runs look only at files that changed since, and not at all with
+    ``evolution="none"``. Values of text formats that
     do not fit it go to ``_rescued_data``. For typed formats with mistyped files
     use ``ingest_typed_files``. ``existing=False`` starts with files that arrive
     after the first run.
@@ -94,7 +95,8 @@ def _tracked_schema(spark, src, fmt, options, meta_dir, evolution, given) -> tup
     now = _utc_now()
     saved = schemas.saved_schema(spark, path)
     if saved is None:
-        found = schemas.infer(spark, src, fmt, options, None)
+        fixed = given is not None and evolution == "none"
+        found = given if fixed else schemas.infer(spark, src, fmt, options, None)
         start = given or found
         if start is None:
             raise ValueError(f"no files to infer a schema from in {src}")
