@@ -418,7 +418,7 @@ ORACLE |= {
     "rescue_typed_files": _RESCUED,
     "copy_into": plain("production"),
     "partitioned_source": build("production", body="""SELECT *, CAST(date_trunc('month', production_date) AS DATE)
-      AS production_month FROM production WHERE production_date >= DATE '2001-01-01'"""),
+      AS production_month FROM production"""),
     "read_binary": ORACLE["page_text"].replace("SELECT page_id,", "SELECT", 1),
     "load_targets": plain("targets"),
     "stream_table": ORACLE["silver_cleanse"],

@@ -10,6 +10,7 @@ import json
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,6 +22,8 @@ from strata.sources.files import if_present
 from strata.sources.schemas import RESCUED
 
 AVAILABLE_NOW = "available_now"
+TOO_NEW = "a file arrived after the schema check"
+RESTARTS = 5
 FILE_COLUMNS = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -56,10 +59,28 @@ def ingest_files(
     do not fit it go to ``_rescued_data``. For typed formats with mistyped files
     use ``ingest_typed_files``. ``existing=False`` starts with files that arrive
     after the first run.
+
+    A catch-up run refuses a file that arrived after its schema check and starts
+    again with a new check, so no column is missed. A stream kept running stays with
+    the schema it started with.
     """
     options = dict(options or {})
     if fmt == "csv":
         options.setdefault("header", "true")
+    how = (spark, src, dst, meta_dir, fmt, evolution, existing, trigger, rules, partition_by, options, schema)
+    for _ in range(RESTARTS):
+        try:
+            return _ingest(*how)
+        except StreamingQueryException as error:
+            if TOO_NEW not in str(error):
+                raise
+    return _ingest(*how)
+
+
+def _ingest(
+    spark, src, dst, meta_dir, fmt, evolution, existing, trigger, rules, partition_by, options, schema
+) -> int | StreamingQuery:
+    checked = dt.datetime.now(dt.timezone.utc)
     wanted, found = _tracked_schema(spark, src, fmt, options, meta_dir, evolution, schema)
     text = fmt in schemas.TEXT_FORMATS
     reading = StructType(wanted.fields + [f for f in found if f.name not in wanted.names and evolution == "rescue"])
@@ -68,6 +89,9 @@ def ingest_files(
     if not existing:
         since = _first_run(spark, f"{meta_dir}/start")
         raw = raw.filter(F.col("_metadata.file_modification_time") > F.lit(since))
+    if trigger == AVAILABLE_NOW and evolution != "none":
+        newer = F.col("_metadata.file_modification_time") > F.lit(checked)
+        raw = raw.filter(F.when(newer, F.raise_error(F.lit(TOO_NEW))).otherwise(True))
     bronze = schemas.rescue_columns(raw, wanted)
     if rules:
         bronze = expect_fail(bronze, rules)

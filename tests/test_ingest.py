@@ -64,6 +64,24 @@ def test_new_columns_by_mode(spark, path):
     assert got == {1: (None, None), 2: (None, None), 3: (None, '{"extra":"y"}'), 4: ("z", None)}
 
 
+def test_a_file_that_arrives_during_the_schema_check(spark, path, monkeypatch):
+    drop(spark, path, [(1,)], "k bigint")
+    infer, late = schemas.infer, [True]
+
+    def infer_then_deliver(*args):
+        found = infer(*args)
+        if late:
+            late.clear()
+            time.sleep(0.05)
+            drop(spark, path, [(2, "x")], "k bigint, extra string")
+        return found
+
+    monkeypatch.setattr(schemas, "infer", infer_then_deliver)
+    run(spark, path)
+    got = {r["k"]: r["extra"] for r in bronze(spark, path).collect()}
+    assert got == {1: None, 2: "x"}
+
+
 def test_misfits_of_text_formats_are_kept(spark, path):
     schema = StructType.fromDDL("k int, day date, v double, tags array<string>")
     spark.createDataFrame(
