@@ -84,8 +84,10 @@ def change_feed(
     """Row changes that turn one keyed snapshot into the next.
 
     One full join on the (unique) key; equal rows fall out before anything is
-    expanded, and an update becomes a pre- and a post-image.
+    expanded, and an update becomes a pre- and a post-image. A column that only one
+    of the snapshots has is NULL in the other.
     """
+    old, new = _widened(old, new), _widened(new, old)
     payload = [c for c in old.columns if c not in keys]
     changed = (
         old.select(*keys, F.struct(*payload).alias("_old"))
@@ -112,6 +114,12 @@ def change_feed(
     )
 
 
+def _widened(df: DataFrame, other: DataFrame) -> DataFrame:
+    """``df`` with the columns only ``other`` has."""
+    extra = [f for f in other.schema if f.name not in df.columns]
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in extra}) if extra else df
+
+
 def strip_meta(feed: DataFrame) -> DataFrame:
     """The source columns of a feed."""
     return feed.select(*[c for c in feed.columns if not c.startswith(FEED_PREFIXES)])
@@ -151,7 +159,8 @@ def cdc_mirror(target: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataF
 
 def apply_net(target: DataFrame, net: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Apply net changes, one per key. They are read twice, so store costly ones first."""
-    return delete_matching(target, net, keys, unique=True).unionByName(as_mirror_rows(net))
+    kept = delete_matching(target, net, keys, unique=True)
+    return kept.unionByName(as_mirror_rows(net), allowMissingColumns=True)
 
 
 def audit_append(feed: DataFrame) -> DataFrame:

@@ -68,12 +68,16 @@ def scd2_history(
 def scd2_apply(
     history: DataFrame, batch: DataFrame, keys: Sequence[str], sequence_by: str, tie_break: Sequence[Column]
 ) -> DataFrame:
-    """Fold a batch into a history; only the keys of the batch are rebuilt."""
+    """Fold a batch into a history; only the keys of the batch are rebuilt.
+
+    The batch may bring new columns; rows from before have NULL in them.
+    """
     touched = batch.select(*keys).distinct()
     untouched = history.join(touched, list(keys), "left_anti")
     known = history.join(touched, list(keys), "left_semi").drop(START, END)
-    rebuilt = scd2_history(known.unionByName(batch), keys, sequence_by, tie_break)
-    return untouched.unionByName(rebuilt)
+    rows = known.unionByName(batch, allowMissingColumns=True)
+    rebuilt = scd2_history(rows, keys, sequence_by, tie_break)
+    return untouched.unionByName(rebuilt, allowMissingColumns=True)
 
 
 def scd2_current(history: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import StreamingQueryException
@@ -224,12 +224,28 @@ def _by_schema(spark: SparkSession, fmt: str, paths: list[str]) -> dict[StructTy
     return {StructType.fromJson(json.loads(text)): members for text, members in groups.items()}
 
 
-def copy_into(spark: SparkSession, src: str, root: str, fmt: str = "parquet", options: dict | None = None) -> int:
+def copy_into(
+    spark: SparkSession,
+    src: str,
+    root: str,
+    fmt: str = "parquet",
+    options: dict | None = None,
+    files_per_version: int = 10_000,
+) -> int:
     """Batch load that takes each file once. Returns the number of new files.
 
     The list of loaded files is part of the version that loaded them, so both
-    become visible together.
+    become visible together. More than ``files_per_version`` new files become
+    several versions, so only that many names are held at a time.
     """
+    total = loaded = _copy_version(spark, src, root, fmt, options, files_per_version)
+    while loaded == files_per_version:
+        loaded = _copy_version(spark, src, root, fmt, options, files_per_version)
+        total += loaded
+    return total
+
+
+def _copy_version(spark, src, root, fmt, options, files_per_version) -> int:
     newest = versions.latest_version(spark, root)
     version = 0 if newest is None else newest + 1
     listing = (
@@ -242,7 +258,7 @@ def copy_into(spark: SparkSession, src: str, root: str, fmt: str = "parquet", op
         )
         listing = listing.join(loaded, "path", "left_anti")
     files = f"{root}/files/_version={version}"
-    listing.write.mode("overwrite").parquet(files)
+    listing.limit(files_per_version).write.mode("overwrite").parquet(files)
     paths = [r["path"] for r in spark.read.schema("path string").parquet(files).collect()]
     if not paths:
         return 0

@@ -60,6 +60,15 @@ def test_feed_and_mirror_follow_random_snapshots(spark, seed):
     assert {r[0] for r in audit.select("_operation").distinct().collect()} <= {"INSERT", "UPDATE_POSTIMAGE"}
 
 
+def test_feed_with_a_new_column(spark):
+    old = spark.createDataFrame([(1, 1), (2, 1)], "k int, a int")
+    new = spark.createDataFrame([(1, 1, None), (2, 1, "x")], "k int, a int, note string")
+    feed = changes.change_feed(old, new, ["k"], 1, T).select("k", "a", "note", "_change_type")
+    assert sorted((tuple(r) for r in feed.collect()), key=repr) == [
+        (2, 1, "x", "update_postimage"), (2, 1, None, "update_preimage"),
+    ]
+
+
 def test_insert_then_delete_leaves_no_ghost(spark):
     feed = spark.createDataFrame(
         [

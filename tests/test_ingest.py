@@ -180,6 +180,14 @@ def test_copy_into_takes_each_file_once(spark, path):
     assert sorted(r["k"] for r in versions.read(spark, path("table")).collect()) == [1, 2]
 
 
+def test_copy_into_in_several_versions(spark, path):
+    for k in range(5):
+        drop(spark, path, [(k,)], "k bigint")
+    assert ingest.copy_into(spark, path("src"), path("table"), files_per_version=2) == 5
+    assert versions.latest_version(spark, path("table")) == 2
+    assert sorted(r["k"] for r in versions.read(spark, path("table")).collect()) == list(range(5))
+
+
 def test_copy_into_after_a_stop_before_the_commit(spark, path, monkeypatch):
     drop(spark, path, [(1,)], "k bigint")
     with monkeypatch.context() as patch:

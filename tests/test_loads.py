@@ -59,6 +59,18 @@ def test_mirror_survives_a_stop_before_the_state_is_saved(spark, path, monkeypat
     assert values(versions.read(spark, path("mirror"))) == sorted(V1)
 
 
+def test_mirror_takes_up_a_new_column(spark, path):
+    put(spark, path("src"), 0, V0)
+    mirror(spark, path)
+    wider = spark.createDataFrame([(3, "tue", 2, "new")], SCHEMA + ", note string")
+    versions.publish(wider, path("src"), 1, "merge", by_day(), ["ptue"])
+    mirror(spark, path)
+    rows = versions.read(spark, path("mirror")).select("k", "v", "note")
+    assert sorted((tuple(r) for r in rows.collect()), key=repr) == [
+        (1, 1, None), (2, 1, None), (3, 2, "new"),
+    ]
+
+
 def test_mirror_rewrites_only_the_parts_that_changed(spark, path):
     put(spark, path("src"), 0, V0)
     mirror(spark, path)

@@ -91,6 +91,19 @@ def test_streamed_history_equals_the_batch_history(spark, path):
     assert streamed.exceptAll(direct).isEmpty() and direct.exceptAll(streamed).isEmpty()
 
 
+def test_history_takes_up_a_new_column(spark, path):
+    how = (["k"], "seq", [F.desc("v")], path("cp"), versions.part_by_key(["k"], 2))
+    drop(spark, path, [(1, 1, 10), (2, 1, 10)])
+    tables.stream_scd2(source(spark, path), path("table"), *how)
+    wider = spark.createDataFrame([(1, 2, 11, "new")], SCHEMA + ", note string")
+    wider.write.mode("append").parquet(path("src"))
+    tables.stream_scd2(tables.table_stream(spark, path("src"), wider.schema), path("table"), *how)
+    rows = versions.read(spark, path("table")).select("k", "seq", "note", "__END_AT")
+    assert sorted((tuple(r) for r in rows.collect()), key=repr) == [
+        (1, 1, None, 2), (1, 2, "new", None), (2, 1, None, None),
+    ]
+
+
 def test_table_to_table(spark, path):
     drop(spark, path, [(1, 1, -1), (2, 1, 5)])
     silver = lambda df: df.drop("seq").filter("v >= 0")
