@@ -7,7 +7,7 @@ from conftest import DATA
 import __spark_entry__ as entry_point
 from strata.plans import stateful
 
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLE = entry_point.QUERIES, entry_point.ORACLE
 WRITING = {name for name, fn in QUERIES.items() if fn.__module__ == stateful.__name__}
 
 

@@ -7,7 +7,7 @@ import __spark_entry__ as entry_point
 from strata.operators import joins
 from strata.plans import stateful
 
-QUERIES = entry_point.queries()
+QUERIES = entry_point.QUERIES
 PURE = sorted(n for n, fn in QUERIES.items() if fn.__module__ != stateful.__name__)
 SF = f"{DATA}/sf0.001"
 
