@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import neighbours, packing, vafile
+from strata.llm import mixing, neighbours, packing, vafile
 from strata.llm.common import table
 
 
@@ -17,11 +17,15 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mixture(table(spark, sf_dir, "documents")))
+
+
 def op10_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_neighbours, op10_vafile)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_neighbours, op5_mixing, op10_vafile)}
 
 ORACLE = {
     "op2_neighbours": """
