@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, neighbours, packing, vafile
-from strata.llm.common import table
+from strata.llm import languages, mixing, neighbours, packing, vafile
+from strata.llm.common import remainder, table
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,11 +21,18 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mixture(table(spark, sf_dir, "documents")))
 
 
+def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    found = languages.identify(docs, languages.learn(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_neighbours, op5_mixing, op10_vafile)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_neighbours, op5_mixing, op8_languages, op10_vafile)}
 
 ORACLE = {
     "op2_neighbours": """
