@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import languages, mixing, neighbours, packing, vafile
+from strata.llm import html_text, languages, mixing, neighbours, packing, quality, vafile
 from strata.llm.common import remainder, table
 
 
@@ -17,6 +17,14 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mixture(table(spark, sf_dir, "documents")))
 
@@ -32,7 +40,7 @@ def op10_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_neighbours, op5_mixing, op8_languages, op10_vafile)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_neighbours, op3_html_text, op4_quality, op5_mixing, op8_languages, op10_vafile)}
 
 ORACLE = {
     "op2_neighbours": """
