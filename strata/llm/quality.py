@@ -58,8 +58,8 @@ def votes(docs: DataFrame, labels: DataFrame | None) -> DataFrame:
         above(share(F.col("capitals"), F.col("letters")), 0.5, 0.2).alias("poor_capitals"),
         above(share(F.col("separators"), F.col("words")), 0.1, 0.03).alias("poor_separators"),
         above(share(F.col("repeats"), F.col("words")), 0.2, 0.05).alias("poor_repeats"),
-        above(F.col("insults"), 1, 1, F.lit(True)).alias("toxic_insults"),
-        F.when(F.col("insults") == 0, 0).when(F.col("insults") > 1, 1).alias("toxic_repeated"),
+        F.when(F.col("insults") > 0, 1).when(F.col("words") < 5, 0).alias("toxic_insults"),
+        F.when(F.col("insults") > 1, 1).when(F.col("words") < 5, 0).alias("toxic_repeated"),
     )
     if labels is None:
         return found.withColumn("poor_label", F.lit(None).cast("int")).withColumn("toxic_label", F.lit(None).cast("int"))
@@ -131,7 +131,7 @@ def features(batch: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, np.nd
     hashed = [split.hash % np.uint64(FEATURES), (start * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(FEATURES)]
     key = np.unique(np.concatenate([of * FEATURES + h.astype(np.int64) for h in hashed])) if len(of) else np.empty(0, np.int64)
     rows, columns = key // FEATURES, key % FEATURES
-    value = 1 / np.sqrt(np.bincount(rows, minlength=batch.num_rows)[rows]) if len(rows) else np.empty(0)
+    value = np.bincount(rows, minlength=batch.num_rows)[rows] ** -0.25 if len(rows) else np.empty(0)
     parts = [(rows, columns, value)]
     for j, name in enumerate(names):
         vote = batch.column(name).to_numpy(zero_copy_only=False).astype(float)
