@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import html_text, jaccard, languages, mixing, neighbours, packing, quality, vafile
+from strata.llm import html_text, jaccard, languages, mixing, neighbours, packing, quality, substrings, vafile
 from strata.llm.common import remainder, table
 
 
@@ -29,6 +29,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mixture(table(spark, sf_dir, "documents")))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_words", "n_removed", digest)
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = jaccard.join(table(spark, sf_dir, "documents"), length=4, percent=85)
     return joined.select("doc_id", "n_shingles", "component_id")
@@ -45,7 +51,7 @@ def op10_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_neighbours, op3_html_text, op4_quality, op5_mixing, op7_jaccard, op8_languages, op10_vafile)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_neighbours, op3_html_text, op4_quality, op5_mixing, op6_substrings, op7_jaccard, op8_languages, op10_vafile)}
 
 ORACLE = {
     "op2_neighbours": """
