@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,44 +25,79 @@ PREFIX = 5
 GIVEN = 1 - 1e-6
 
 
-def share(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, part / whole).otherwise(0.0)
+HEURISTICS = ("poor_letters", "poor_symbols", "poor_capitals", "poor_separators", "poor_repeats", "toxic_insults", "toxic_repeated")
+_INSULT = re.compile(rb"(?<![A-Za-z])(?:" + "|".join(INSULTS).encode() + rb")(?![A-Za-z])", re.IGNORECASE)
 
 
-def votes(docs: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """One vote per labeller and task: 1 yes, 0 no, null where it has no opinion.
+def _bytes(*kinds: str) -> np.ndarray:
+    table = np.zeros(256, dtype=bool)
+    table[list("".join(kinds).encode())] = True
+    return table
 
-    Returns doc_id, text and the votes. The labellers overlap: letters, symbols, capitals,
-    separators, word repetition and word variety for poor text, insults for toxic text, and
-    for both the given labels where there are any (an id with several labels has no vote
-    when they disagree).
+
+_CAPITAL = _bytes("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_LETTER = _CAPITAL | _bytes("abcdefghijklmnopqrstuvwxyz")
+_LETTER[0xC0:] = True  # first bytes of other characters
+_FIRST = (np.arange(256) & 0xC0) != 0x80
+_SYMBOL = _bytes("#$%&*!|<>{}=^~@", chr(0x5C))
+_SIGN = _FIRST & ~_LETTER & ~_bytes("0123456789")
+
+
+def votes(batch: pa.RecordBatch) -> np.ndarray:
+    """One column per heuristic labeller: 1 yes, 0 no, NaN where it has no opinion.
+
+    The labellers overlap: letters, symbols, capitals, lone signs between words and words
+    said twice running for poor text, insults and several of them for toxic text.
     """
-    text = F.coalesce("text", F.lit(""))
-    size = F.length(text)
-    counted = docs.select(
-        F.col("doc_id").cast("long"), F.col("text"), size.alias("size"),
-        F.regexp_count(text, F.lit(r"\p{L}")).alias("letters"), F.regexp_count(text, F.lit(r"\p{Lu}")).alias("capitals"),
-        F.regexp_count(text, F.lit(r"[#$%&*!|<>{}=\\^~@]")).alias("symbols"),
-        F.regexp_count(text, F.lit(r"(?:^|[\x20\x09-\x0D])[^\x20\x09-\x0D\p{L}\p{N}](?=[\x20\x09-\x0D])")).alias("separators"),
-        F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).alias("words"),
-        F.regexp_count(text, F.lit(r"(?:^|[\x20\x09-\x0D])([^\x20\x09-\x0D]+)(?=[\x20\x09-\x0D]+\1(?:[\x20\x09-\x0D]|$))")).alias("repeats"),
-        F.regexp_count(F.lower(text), F.lit(rf"\b(?:{'|'.join(INSULTS)})\b")).alias("insults"),
-    )
-    long_enough = F.col("words") >= 5
-
-    def above(value: Column, yes: float, no: float, sure: Column = long_enough) -> Column:
-        return F.when(sure & (value >= yes), 1).when(sure & (value < no), 0)
-
-    found = counted.select(
-        "doc_id", "text",
-        above(1 - share(F.col("letters"), F.col("size")), 0.35, 0.25, F.lit(True)).alias("poor_letters"),
-        above(share(F.col("symbols"), F.col("words")), 0.5, 0.15).alias("poor_symbols"),
-        above(share(F.col("capitals"), F.col("letters")), 0.5, 0.2).alias("poor_capitals"),
-        above(share(F.col("separators"), F.col("words")), 0.1, 0.03).alias("poor_separators"),
-        above(share(F.col("repeats"), F.col("words")), 0.2, 0.05).alias("poor_repeats"),
-        F.when(F.col("insults") > 0, 1).when(F.col("words") < 5, 0).alias("toxic_insults"),
-        F.when(F.col("insults") > 1, 1).when(F.col("words") < 5, 0).alias("toxic_repeated"),
+    n = batch.num_rows
+    split = words(batch.column("text"))
+    at = np.concatenate(([0], np.cumsum(np.asarray(pc.binary_length(batch.column("text")).fill_null(0), dtype=np.int64))))
+
+    def bytes_in(table: np.ndarray) -> np.ndarray:
+        return np.diff(np.concatenate(([0], np.cumsum(table[split.data])))[at])
+
+    def words_in(mask: np.ndarray) -> np.ndarray:
+        return np.diff(np.concatenate(([0], np.cumsum(mask)))[split.of])
+
+    count = np.diff(split.of)
+    chars, letters, capitals, symbols = map(bytes_in, (_FIRST, _LETTER, _CAPITAL, _SYMBOL))
+    lone = words_in((split.end - split.start == 1) & _SIGN[split.data[split.start]])
+    twice = np.zeros(len(split.hash), dtype=bool)
+    twice[1:] = split.hash[1:] == split.hash[:-1]
+    twice[split.of[:-1][count > 0]] = False
+    places = np.fromiter((m.start() for m in _INSULT.finditer(split.data.tobytes())), dtype=np.int64)
+    insults = np.bincount(np.searchsorted(at, places, side="right") - 1, minlength=n) if len(places) else np.zeros(n, int)
+
+    def vote(part: np.ndarray, whole: np.ndarray, yes: float, no: float, least: int = 5) -> np.ndarray:
+        share = part / np.maximum(whole, 1)
+        return np.where(count < least, np.nan, np.where(share >= yes, 1.0, np.where(share < no, 0.0, np.nan)))
+
+    few = np.where(count < 5, 0.0, np.nan)
+    return np.stack(
+        [
+            vote(chars - letters, chars, 0.35, 0.25, 0), vote(symbols, count, 0.5, 0.15), vote(capitals, letters, 0.5, 0.2),
+            vote(lone, count, 0.1, 0.03), vote(words_in(twice), count, 0.2, 0.05),
+            np.where(insults > 0, 1.0, few), np.where(insults > 1, 1.0, few),
+        ],
+        axis=1,
     )
+
+
+def vote_table(docs: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(doc_id, text_hash, votes): the heuristics and, where there are any, the given labels.
+
+    An id with several labels has no vote when they disagree. Texts are not carried along.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                cast = votes(part)
+                columns = [pa.array(cast[:, j], pa.float64(), from_pandas=True).cast(pa.int32()) for j in range(len(HEURISTICS))]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), *columns], names=["doc_id", "text_hash", *HEURISTICS])
+
+    schema = "doc_id long, text_hash long, " + ", ".join(f"{h} int" for h in HEURISTICS)
+    found = hashed(docs).mapInArrow(run, schema)
     if labels is None:
         return found.withColumn("poor_label", F.lit(None).cast("int")).withColumn("toxic_label", F.lit(None).cast("int"))
 
@@ -72,6 +109,10 @@ def votes(docs: DataFrame, labels: DataFrame | None) -> DataFrame:
     return found.join(given, found["doc_id"] == given["label_id"], "left").drop("label_id")
 
 
+def hashed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string"))
+
+
 def labellers(task: str, columns: list[str]) -> list[str]:
     return [c for c in columns if c.startswith(f"{task}_")]
 
@@ -119,7 +160,7 @@ def learn_labellers(voted: DataFrame) -> dict[str, tuple[list[str], float, np.nd
     return learned
 
 
-def features(batch: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, hashed feature and value: distinct words, word beginnings, and the heuristic votes."""
     split = words(batch.column("text"), lower=True)
     of = np.repeat(np.arange(batch.num_rows), np.diff(split.of))
@@ -133,21 +174,18 @@ def features(batch: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, np.nd
     rows, columns = key // FEATURES, key % FEATURES
     value = np.bincount(rows, minlength=batch.num_rows)[rows] ** -0.25 if len(rows) else np.empty(0)
     parts = [(rows, columns, value)]
-    for j, name in enumerate(names):
-        vote = batch.column(name).to_numpy(zero_copy_only=False).astype(float)
+    for j, vote in enumerate(votes(batch).T):
         for answer in (0, 1):
             at = np.flatnonzero(vote == answer)
             parts.append((at, np.full(len(at), FEATURES + 2 * j + answer), np.ones(len(at))))
-    parts.append((np.arange(batch.num_rows), np.full(batch.num_rows, FEATURES + 2 * len(names)), np.ones(batch.num_rows)))
+    parts.append((np.arange(batch.num_rows), np.full(batch.num_rows, FEATURES + 2 * len(HEURISTICS)), np.ones(batch.num_rows)))
     return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
-def heuristics(voted: DataFrame) -> list[str]:
-    """Votes that the scorer sees: all but the given labels, which new documents lack."""
-    return [c for t in TASKS for c in labellers(t, voted.columns) if not c.endswith("_label")]
+SIZE = FEATURES + 2 * len(HEURISTICS) + 1
 
 
-def train(voted: DataFrame, learned: dict, sample: int = SAMPLE) -> np.ndarray:
+def train(docs: DataFrame, voted: DataFrame, learned: dict, sample: int = SAMPLE) -> np.ndarray:
     """Weights of one linear scorer per task, by logistic regression on posterior labels.
 
     Fitted on a sample of about ``sample`` documents by a hash of the text, half of them
@@ -156,16 +194,14 @@ def train(voted: DataFrame, learned: dict, sample: int = SAMPLE) -> np.ndarray:
     """
     labelled = F.coalesce("poor_label", "toxic_label").isNotNull()
     n, n_labelled = voted.agg(F.count(F.lit(1)), F.count(F.when(labelled, 1))).first()
-    names = heuristics(voted)
     rate = F.when(labelled, sample / 2 / max(1, n_labelled)).otherwise(sample / 2 / max(1, n - n_labelled))
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < rate * (1 << 40)
-    size = FEATURES + 2 * len(names) + 1
+    drawn = F.pmod(F.xxhash64("text_hash", "doc_id"), F.lit(1 << 40)) < rate * (1 << 40)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, truth, base = [], [], 0
         for batch in batches:
             for part in slices(batch, "text"):
-                row, column, value = features(part, names)
+                row, column, value = features(part)
                 parts.append((row + base, column, value))
                 truth.append([posterior(votes_of(part, columns), prior, rate) for columns, prior, rate in learned.values()])
                 base += part.num_rows
@@ -178,25 +214,28 @@ def train(voted: DataFrame, learned: dict, sample: int = SAMPLE) -> np.ndarray:
         row, column, value = place[row][order], column[order], value[order]
         truth[:, place] = truth.copy()
         for task, wanted in zip(TASKS, truth, strict=True):
-            weights, spread = np.zeros(size), np.full(size, 1e-6)
-            balance = np.where(wanted > 0.5, 0.5 / max(1e-3, wanted.mean()), 0.5 / max(1e-3, 1 - wanted.mean()))
+            balance = np.where(wanted > 0.5, np.sqrt((1 - wanted.mean()) / max(1e-3, wanted.mean())), 1.0)  # rare, so counted more
+            weights, spread = np.zeros(SIZE), np.full(SIZE, 1e-6)
             for _ in range(EPOCHS):
                 for first in range(0, base, BATCH):
                     mine = slice(*np.searchsorted(row, (first, first + BATCH)))
                     n, at = min(BATCH, base - first), row[mine] - first
                     guess = 1 / (1 + np.exp(-np.bincount(at, weights[column[mine]] * value[mine], n)))
                     off = (guess - wanted[first : first + n]) * balance[first : first + n] / n
-                    slope = np.bincount(column[mine], off[at] * value[mine], size)
+                    slope = np.bincount(column[mine], off[at] * value[mine], SIZE)
                     spread += slope * slope
                     weights -= 0.3 * slope / np.sqrt(spread)
             at = np.flatnonzero(weights)
             columns = [pa.array([task] * len(at)), pa.array(at), pa.array(weights[at])]
             yield pa.RecordBatch.from_arrays(columns, names=["task", "feature", "weight"])
 
-    columns = ["text", *(c for t in TASKS for c in learned[t][0])]
-    found = voted.filter(drawn).select(*columns).coalesce(1)
-    found = found.mapInArrow(fit, "task string, feature long, weight double").toPandas()
-    weights = np.zeros((len(TASKS), size))
+    rows = hashed(docs)
+    columns = [c for t in TASKS for c in learned[t][0]]
+    picked = voted.filter(drawn).dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias("i"), F.col("text_hash").alias("h"), *columns)
+    same = rows["doc_id"].eqNullSafe(F.col("i")) & rows["text_hash"].eqNullSafe(F.col("h"))
+    texts = rows.join(F.broadcast(picked), same).select("text", *columns)  # about ``sample`` narrow rows
+    found = texts.repartition(1).mapInArrow(fit, "task string, feature long, weight double").toPandas()
+    weights = np.zeros((len(TASKS), SIZE))
     for i, task in enumerate(TASKS):
         mine = found[found["task"] == task]
         weights[i, mine["feature"].to_numpy(int)] = mine["weight"]
@@ -217,14 +256,13 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAM
     null ids are scored each on their own, an empty table gives no rows, and columns other
     than those read may have any name.
     """
-    voted = store(votes(docs, labels), "quality")
-    weights = train(voted, learn_labellers(voted), sample)
-    names = heuristics(voted)
+    voted = store(vote_table(docs, labels), "quality")
+    weights = train(docs, voted, learn_labellers(voted), sample)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                row, column, value = features(part, names)
+                row, column, value = features(part)
                 poor, toxic = (1 / (1 + np.exp(-np.bincount(row, w[column] * value, part.num_rows))) for w in weights)
                 empty = np.diff(words(part.column("text"), hashes=False).of) == 0
                 poor, toxic = np.where(empty, 1.0, poor), np.where(empty, 0.0, toxic)
@@ -232,4 +270,4 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAM
                 columns = [part.column("doc_id"), pa.array(1 - poor), pa.array(toxic), pa.array(keep)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "quality", "toxicity", "keep"])
 
-    return voted.select("doc_id", "text", *names).mapInArrow(score, "doc_id long, quality double, toxicity double, keep boolean")
+    return hashed(docs).mapInArrow(score, "doc_id long, quality double, toxicity double, keep boolean")
