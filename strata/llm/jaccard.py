@@ -18,7 +18,8 @@ SHINGLE = 5
 PERCENT = 80
 SKETCH = 1 << 21
 CHUNK = 1 << 16
-LONG_LIST = 64
+LONG_LIST = 32
+FILTER_BITS = 1 << 26
 BLOCK = 4096
 
 
@@ -151,9 +152,38 @@ def keys(docs: DataFrame, order: np.ndarray, light: int, length: int, percent: i
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, cls long, n long")
 
 
+def wanted_bits(wanted: DataFrame) -> np.ndarray:
+    """FILTER_BITS bits that tell which text hashes may be wanted; more texts only make it less sharp."""
+    per_chunk = CHUNK * 8
+
+    def fill(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(per_chunk, dtype=bool)
+        for batch in batches:
+            bits[batch.column("bit").to_numpy() % per_chunk] = True
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["chunk", "bits"])
+
+    bit = F.pmod("text_hash", F.lit(FILTER_BITS)).cast("int")
+    places = wanted.select(bit.alias("bit")).distinct().withColumn("chunk", F.floor(F.col("bit") / per_chunk).cast("int"))
+    out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for row in places.groupBy("chunk").applyInArrow(fill, "chunk int, bits binary").collect():
+        out[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return out
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(cls, n, shingles) of the wanted classes (cls, text_hash), one document's text for each."""
-    texts = docs.select(F.xxhash64("text").alias("t"), F.col("text").cast("string")).groupBy("t").agg(F.first("text").alias("text"))
+    """(cls, n, shingles) of the wanted classes (cls, text_hash), one document's text for each.
+
+    A filter of fixed size keeps most other texts out of the shuffle; the join decides.
+    """
+    bits = wanted_bits(wanted)
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column("t").to_numpy() % FILTER_BITS
+            yield batch.filter(pa.array((bits[bit // 8] >> (7 - bit % 8).astype(np.uint8)) & 1 == 1))
+
+    texts = docs.select(F.xxhash64("text").alias("t"), F.col("text").cast("string"))
+    texts = texts.mapInArrow(sift, texts.schema).groupBy("t").agg(F.first("text").alias("text"))
     texts = texts.join(wanted.select(F.col("text_hash").alias("t"), F.col("cls").alias("wanted")), "t").select("text", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,25 +211,13 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def crowd_links(members: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     """Links inside crowds (cls, crowd), as a forest, without listing pairs.
 
-    Every member is kept as its difference from the crowd's first set: what it lacks and
-    what it adds. Members are dealt into blocks, and a task compares two blocks by the
-    lists of their differences, which are short among near copies. Only links that join
-    two parts are returned.
+    Members are dealt into blocks, and a task compares two blocks of one crowd by inverted
+    lists. Only links that join two parts are returned.
     """
-    sizes = members.groupBy("crowd").agg(F.count(F.lit(1)).alias("members"))
-    first = sets.select(F.col("cls").alias("crowd"), F.col("shingles").alias("base"))
-    own = sets.join(members, "cls").join(sizes, "crowd").join(first, "crowd")
-    own = own.select(
-        "crowd", "cls", "n", F.size("base").alias("size"),
-        F.array_except("base", "shingles").alias("lacks"), F.array_except("shingles", "base").alias("adds"),
-        F.ceil(F.col("members") / block).cast("int").alias("blocks"),
-    )
-    own = own.withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    sizes = members.groupBy("crowd").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    own = sets.join(members.join(sizes, "crowd"), "cls").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "crowd", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
-        (F.col("own") <= F.col("other")).alias("left"), "cls", "n", "size", "lacks", "adds",
-    )
+    dealt = dealt.select("crowd", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "cls", "n", "shingles")
 
     def tile(table: pa.Table) -> pa.Table:
         links = forest(table, percent)
@@ -211,26 +229,36 @@ def crowd_links(members: DataFrame, sets: DataFrame, percent: int, block: int =
 def forest(table: pa.Table, percent: int) -> list[tuple[int, int]]:
     """Links of one tile that join two parts.
 
-    With base size p, two sets share p - lacks - lacks' + (common lacks) + (common adds).
+    A shingle that most members have is listed by those that lack it, so lists are short
+    among near copies too: two sets share all such shingles, less what one or the other
+    lacks, plus what both lack, plus the other shingles both have.
     """
     cls, n = table.column("cls").to_numpy(), table.column("n").to_numpy()
-    size = table.column("size").to_numpy()
-    lacks, adds = table.column("lacks").combine_chunks(), table.column("adds").combine_chunks()
-    n_lacks = np.diff(lacks.offsets.to_numpy())
-    tokens = np.concatenate([mix(lacks.flatten().to_numpy().view(np.uint64)), mix(mix(adds.flatten().to_numpy().view(np.uint64)))])
-    rows = np.concatenate([np.repeat(np.arange(len(n)), n_lacks), np.repeat(np.arange(len(n)), np.diff(adds.offsets.to_numpy()))])
-    _, token = np.unique(tokens, return_inverse=True)
+    held = table.column("shingles").combine_chunks()
+    rows = np.repeat(np.arange(len(n)), np.diff(held.offsets.to_numpy()))
+    _, token = np.unique(held.flatten().to_numpy(), return_inverse=True)
+    usual = np.flatnonzero(np.bincount(token) * 2 > len(n))
+    is_usual = np.zeros(token.max() + 1 if len(token) else 0, dtype=bool)
+    is_usual[usual] = True
+    place = np.cumsum(is_usual) - 1
+    lacks = np.ones((len(n), len(usual)), dtype=bool)
+    of_usual = is_usual[token]
+    lacks[rows[of_usual], place[token[of_usual]]] = False
+    lacking, missed = np.nonzero(lacks)
+    n_lacks = lacks.sum(axis=1)
+    rows, token = np.concatenate([rows[~of_usual], lacking]), np.concatenate([token[~of_usual], usual[missed]])
     by_token = np.argsort(token, kind="stable")
-    start = np.searchsorted(token[by_token], np.arange(token.max() + 2 if len(token) else 1))
-    lists = rows[by_token]
+    start = np.searchsorted(token[by_token], np.arange(len(is_usual) + 1))
+    lists, length = rows[by_token], np.diff(start)
+    mine = length[token] > 1  # a list of one tells nothing about pairs
+    rows, token = rows[mine], token[mine]
     by_row = np.argsort(rows, kind="stable")
     at = np.searchsorted(rows[by_row], np.arange(len(n) + 1))
     part, links = np.arange(len(n)), []
     for i in range(len(n)):
-        mine = token[by_row[at[i] : at[i + 1]]]
-        held = [lists[start[t] : start[t + 1]] for t in mine.tolist()]
-        common = np.bincount(np.concatenate(held), minlength=len(n)) if held else np.zeros(len(n), int)
-        both = size[i] - n_lacks[i] - n_lacks + common
+        found = [lists[start[t] : start[t + 1]] for t in token[by_row[at[i] : at[i + 1]]].tolist()]
+        common = np.bincount(np.concatenate(found), minlength=len(n)) if found else np.zeros(len(n), int)
+        both = len(usual) - n_lacks[i] - n_lacks + common
         near = np.flatnonzero((100 * both >= percent * (n[i] + n - both)) & (part != part[i]))
         for j in near.tolist():
             if part[j] != part[i]:
@@ -272,7 +300,8 @@ def join(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, long_li
     apart = ~F.coalesce(F.col("cu") == F.col("cv"), F.lit(False))
     pairs = store(a.join(b, "key").filter((F.col("u") < F.col("v")) & fits & apart).select("u", "v").distinct(), "jaccard")
     involved = pairs.select(F.col("u").alias("cls")).union(pairs.select("v")).union(crowds.select("cls")).distinct()
-    sets = store(sets_of(docs, classes.join(involved, "cls").select("cls", "text_hash"), length), "jaccard")
+    wanted = store(classes.join(involved, "cls").select("cls", "text_hash"), "jaccard")
+    sets = store(sets_of(docs, wanted, length), "jaccard")
     links = verified(pairs, sets, percent).union(crowd_links(crowds, sets, percent, block))
     parts = components(store(links, "jaccard"))
     grouped = classes.join(parts, classes["cls"] == parts["node"], "left")
