@@ -58,9 +58,15 @@ class Words(NamedTuple):
     hash: np.ndarray
     of: np.ndarray  # word index where each text begins, one entry more than texts
 
-    def text(self, first: int, last: int) -> bytes:
-        """The bytes from word ``first`` to word ``last``, both included."""
-        return self.data[self.start[first] : self.end[last]].tobytes()
+    def joined(self) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """All words with one blank after each, and where each begins and ends in that."""
+        size = self.end - self.start
+        end = np.cumsum(size + 1) - 1
+        out = np.full(int(end[-1]) + 1 if len(end) else 0, 0x20, dtype=np.uint8)
+        word = np.repeat(np.arange(len(size)), size)
+        inside = np.arange(len(word)) + word
+        out[inside] = self.data[np.arange(len(word)) + np.repeat(self.start - np.cumsum(size) + size, size)]
+        return out.tobytes(), end - size, end
 
 
 def words(texts: pa.Array, lower: bool = False, hashes: bool = True) -> Words:

@@ -142,14 +142,14 @@ def passages(grouped: DataFrame, live: DataFrame, length: int, crowded: int) ->
                     split = words(part.column("text"))
                     hashes, start, windows = anchors(split, length)
                     at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                    joined, begins, ends = split.joined()
                     for j in np.flatnonzero(known[at] == hashes).tolist():
                         a, n = int(start[j]), int(windows[j])
                         text = int(np.searchsorted(split.of, a, side="right")) - 1
                         key, begin = keys[base + text], a - int(split.of[text])
                         spans = [(a + i, 1) for i in range(n)] if crowd[at[j]] else [(a, n)]
                         for b, m in spans:
-                            ends = split.start[b : b + m + length - 1], split.end[b : b + m + length - 1]
-                            passage = b" ".join([split.data[s:e].tobytes() for s, e in zip(*ends, strict=True)])
+                            passage = joined[begins[b] : ends[b + m + length - 2]]
                             block = hashes[j]
                             if crowd[at[j]]:
                                 block = mix(grams(split.hash[b : b + length], length))[0]
@@ -260,17 +260,18 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, group_rows: int = GROUP_R
         for batch in rows.to_batches():
             for part in slices(batch, "text"):
                 split = words(part.column("text"), hashes=False)
+                joined, begins, ends = split.joined()
                 keys = zip(part.column("doc_id").to_pylist(), part.column("text_hash").to_pylist(), part.column("text").is_null().to_pylist(), strict=True)
                 for i, (doc_id, text_hash, null) in enumerate(keys):
                     a, b = int(split.of[i]), int(split.of[i + 1])
                     keep = np.ones(b - a, dtype=bool)
                     for s, e in spans_of.get((doc_id, text_hash), ()):
                         keep[s:e] = False
-                    at = np.flatnonzero(keep) + a
-                    ends = zip(split.start[at].tolist(), split.end[at].tolist(), strict=True)
-                    kept.append(None if null else b" ".join([split.data[s:e].tobytes() for s, e in ends]).decode())
+                    edges = np.flatnonzero(np.diff(np.concatenate(([False], keep, [False])))).tolist()
+                    runs = [joined[begins[a + s] : ends[a + e - 1]] for s, e in zip(edges[::2], edges[1::2], strict=True)]
+                    kept.append(None if null else b" ".join(runs).decode())
                     n_words.append(b - a)
-                    n_removed.append(b - a - len(at))
+                    n_removed.append(b - a - int(keep.sum()))
         out = [rows.column("doc_id"), rows.column("rest"), pa.array(count), pa.array(kept, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
         return pa.table(dict(zip(schema.names, out, strict=True)))
 
