@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import html_text, jaccard, languages, mixing, neighbours, packing, quality, substrings, vafile
+from strata.llm import html_text, jaccard, languages, mixing, neighbours, packing, quality, substrings, suffix_tree, vafile
 from strata.llm.common import remainder, table
 
 
@@ -47,11 +47,18 @@ def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 10) == 0
+    scored = suffix_tree.score(table(spark, sf_dir, "documents"), ~held_out)
+    columns = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", held_out.alias("held_out"), *columns)
+
+
 def op10_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_neighbours, op3_html_text, op4_quality, op5_mixing, op6_substrings, op7_jaccard, op8_languages, op10_vafile)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_neighbours, op3_html_text, op4_quality, op5_mixing, op6_substrings, op7_jaccard, op8_languages, op9_suffix_tree, op10_vafile)}
 
 ORACLE = {
     "op2_neighbours": """
