@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -191,8 +192,6 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> Column:
 
     A pandas UDF over the text, to filter documents with all their columns.
     """
-    import pandas as pd
-
     @F.pandas_udf("double")
     def share(texts: pd.Series) -> pd.Series:
         out = []
