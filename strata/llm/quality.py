@@ -23,6 +23,7 @@ EPOCHS = 8
 BATCH = 512
 PREFIX = 5
 GIVEN = 1 - 1e-6
+SHARE = 0.1
 
 
 HEURISTICS = ("poor_letters", "poor_symbols", "poor_capitals", "poor_separators", "poor_repeats", "toxic_insults", "toxic_repeated")
@@ -72,12 +73,11 @@ def votes(batch: pa.RecordBatch) -> np.ndarray:
         share = part / np.maximum(whole, 1)
         return np.where(count < least, np.nan, np.where(share >= yes, 1.0, np.where(share < no, 0.0, np.nan)))
 
-    few = np.where(count < 5, 0.0, np.nan)
     return np.stack(
         [
             vote(chars - letters, chars, 0.35, 0.25, 0), vote(symbols, count, 0.5, 0.15), vote(capitals, letters, 0.5, 0.2),
             vote(lone, count, 0.1, 0.03), vote(words_in(twice), count, 0.2, 0.05),
-            np.where(insults > 0, 1.0, few), np.where(insults > 1, 1.0, few),
+            np.where(insults > 0, 1.0, 0.0), np.where(insults > 1, 1.0, np.where(insults == 0, 0.0, np.nan)),
         ],
         axis=1,
     )
@@ -120,6 +120,9 @@ def labellers(task: str, columns: list[str]) -> list[str]:
 def accuracies(patterns: pd.DataFrame, names: list[str], steps: int = 100) -> tuple[float, np.ndarray]:
     """EM over vote patterns with counts: the share of yes, and P(vote | truth) per labeller.
 
+    The share of yes is that of the given labels, or SHARE without any: labellers that
+    never say no cannot tell it.
+
     ``patterns`` has a column per labeller (NaN: no vote) and ``n``; there are at most
     3 ** labellers rows. Labellers start as better than chance, which settles which side is
     yes. Given labels keep the accuracy of GIVEN: heuristics that share a blind spot would
@@ -129,7 +132,8 @@ def accuracies(patterns: pd.DataFrame, names: list[str], steps: int = 100) -> tu
     n = patterns["n"].to_numpy(float)
     given = np.array([name.endswith("_label") for name in names])
     rate = np.where(given, [[1 - GIVEN], [GIVEN]], [[0.1], [0.7]])  # P(vote yes | truth), rows: no, yes
-    prior = 0.1
+    told = ~np.isnan(seen[:, given]).all(axis=1)
+    prior = float((np.nan_to_num(seen[:, given]).max(axis=1, initial=0) @ n + 10 * SHARE) / (n[told].sum() + 10))
     for _ in range(steps):
         truth = posterior(seen, prior, rate)
         for row, weight in enumerate(((1 - truth) * n, truth * n)):
@@ -137,7 +141,6 @@ def accuracies(patterns: pd.DataFrame, names: list[str], steps: int = 100) -> tu
             yes = (np.nan_to_num(seen) * weight[:, None]).sum(axis=0)
             fitted = (yes + (1, 7)[row]) / ((cast * weight[:, None]).sum(axis=0) + 10)
             rate[row] = np.where(given, rate[row], fitted)
-        prior = float((truth @ n + 1) / (n.sum() + 10))
     return prior, rate
 
 

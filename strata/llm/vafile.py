@@ -11,7 +11,7 @@ from strata.llm.vectors import clean, matrix, ranked, representatives, tiles
 
 CELLS = 32
 VISIT = 16
-LONG = np.iinfo(np.int64)
+LONG = np.iinfo(np.int64)  # its ends are Python numbers
 
 
 class Approximation:
@@ -49,6 +49,8 @@ def best_of_block(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.n
     file, found = Approximation(x), []
     for a in range(0, len(query_ids), 128):
         low, high = file.bounds(q[a : a + 128])
+        if x.dtype == object:
+            low, high = np.clip(low, LONG.min, LONG.max), np.clip(high, LONG.min, LONG.max)
         for i, (own, least, most) in enumerate(zip(query_ids[a : a + 128].tolist(), low, high, strict=True), start=a):
             keep = ids != own
             floor = np.sort(least[keep])[-k] if keep.sum() >= k else None
@@ -60,9 +62,9 @@ def best_of_block(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.n
                 if len(best) == k and most[step[0]] < best[-1][0]:
                     break  # no vector further on can reach the k-th score
                 scores = x[step] @ q[i]
-                best += [(int(s), j) for s, j in zip(scores.tolist(), ids[step].tolist(), strict=True)]
+                best += [(min(max(int(s), LONG.min), LONG.max), j) for s, j in zip(scores.tolist(), ids[step].tolist(), strict=True)]
                 best = sorted(best, key=lambda e: (-e[0], e[1]))[:k]
-            found += [(own, j, min(max(s, LONG.min), LONG.max)) for s, j in best]
+            found += [(own, j, s) for s, j in best]
     return found
 
 
