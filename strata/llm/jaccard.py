@@ -119,7 +119,7 @@ def boundary(sizes: list[tuple[int, int]], percent: int) -> int:
 
 
 def keys(docs: DataFrame, order: np.ndarray, light: int, length: int, percent: int) -> DataFrame:
-    """(key, cls, n): the lists and pairs on which a set may meet similar ones.
+    """(key, cls, n, subset): the lists and subsets of two on which a set may meet similar ones.
 
     Sets so small that one shingle more breaks the similarity only link when equal.
     """
@@ -129,7 +129,7 @@ def keys(docs: DataFrame, order: np.ndarray, light: int, length: int, percent: i
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text"):
-                found: list[tuple[np.ndarray, int, int]] = []
+                found: list[tuple[np.ndarray, int, int, bool]] = []
                 for values in shingle_sets(part.column("text"), length):
                     n, cls = len(values), class_of(values)
                     if n < least or cls in seen:
@@ -140,16 +140,35 @@ def keys(docs: DataFrame, order: np.ndarray, light: int, length: int, percent: i
                     rare = spread[np.argsort(by_rarity, kind="stable")[: prefix(n, percent, 2)]]
                     if n <= light:
                         a, b = np.triu_indices(len(rare), 1)
-                        found.append((mix(rare[a] + rare[b] + np.uint64(1)), cls, n))
+                        found.append((mix(rare[a] + rare[b] + np.uint64(1)), cls, n, True))
                     if 100 * n >= percent * (light + 1):
-                        found.append((rare[: prefix(n, percent)], cls, n))
+                        found.append((rare[: prefix(n, percent)], cls, n, False))
                 if found:
-                    count = [len(k) for k, _, _ in found]
-                    columns = [pa.array(np.concatenate([k for k, _, _ in found]).view(np.int64))]
-                    columns += [pa.array(np.repeat([f[i] for f in found], count)) for i in (1, 2)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["key", "cls", "n"])
+                    count = [len(f[0]) for f in found]
+                    columns = [pa.array(np.concatenate([f[0] for f in found]).view(np.int64))]
+                    columns += [pa.array(np.repeat([f[i] for f in found], count)) for i in (1, 2, 3)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "cls", "n", "subset"])
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, cls long, n long")
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, cls long, n long, subset boolean")
+
+
+def candidates(short: DataFrame, light: int, percent: int) -> DataFrame:
+    """Pairs (u, v) that meet on a list or subset and share enough of their prefixes.
+
+    All shared shingles up to the end of one of the two prefixes are in both, so at most
+    the rest of that set can be shared beyond the lists on which the two meet. Pairs of
+    light sets, which meet on subsets, are taken without that count.
+    """
+    a = short.select("key", "subset", F.col("cls").alias("u"), F.col("n").alias("nu"), F.col("crowd").alias("cu"))
+    b = short.select("key", "subset", F.col("cls").alias("v"), F.col("n").alias("nv"), F.col("crowd").alias("cv"))
+    fits = (100 * F.col("nu") >= percent * F.col("nv")) & (100 * F.col("nv") >= percent * F.col("nu"))
+    apart = ~F.coalesce(F.col("cu") == F.col("cv"), F.lit(False))
+    met = a.join(b, ["key", "subset"]).filter((F.col("u") < F.col("v")) & fits & apart)
+    met = met.groupBy("u", "v", "nu", "nv").agg(F.count_if(~F.col("subset")).alias("lists"))
+    needed = F.ceil(percent * (F.col("nu") + F.col("nv")) / (100 + percent))
+    rest = F.ceil(percent * F.greatest("nu", "nv") / 100) - 1
+    enough = (F.greatest("nu", "nv") <= light) | (F.col("lists") + rest >= needed)
+    return met.filter(enough).select("u", "v")
 
 
 def wanted_bits(wanted: DataFrame) -> np.ndarray:
@@ -277,8 +296,8 @@ def join(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, long_li
     ``text`` are read. Shingles are compared by 64-bit hashes.
 
     Lists longer than ``long_list`` do not give pairs: their members form a crowd, whose
-    links `crowd_links` finds block by block. All other lists give candidate pairs, which
-    are checked on the whole sets.
+    links `crowd_links` finds block by block. All other lists give candidate pairs; those
+    that share enough of their lists are checked on the whole sets.
     """
     scanned = store(scan(docs, length), "jaccard")
     documents = scanned.filter("chunk IS NULL").select("doc_id", "n", "cls", "text_hash")
@@ -293,12 +312,8 @@ def join(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, long_li
         components(lists.filter(F.col("members") > long_list).select(F.col("cls").alias("u"), F.col("head").alias("v")))
         .select(F.col("node").alias("cls"), F.col("component").alias("crowd")), "jaccard",
     )
-    short = lists.filter(F.col("members") <= long_list).select("key", "cls", "n").join(crowds, "cls", "left")
-    a = short.select("key", F.col("cls").alias("u"), F.col("n").alias("nu"), F.col("crowd").alias("cu"))
-    b = short.select("key", F.col("cls").alias("v"), F.col("n").alias("nv"), F.col("crowd").alias("cv"))
-    fits = (100 * F.col("nu") >= percent * F.col("nv")) & (100 * F.col("nv") >= percent * F.col("nu"))
-    apart = ~F.coalesce(F.col("cu") == F.col("cv"), F.lit(False))
-    pairs = store(a.join(b, "key").filter((F.col("u") < F.col("v")) & fits & apart).select("u", "v").distinct(), "jaccard")
+    short = lists.filter(F.col("members") <= long_list).select("key", "subset", "cls", "n").join(crowds, "cls", "left")
+    pairs = store(candidates(short, light, percent), "jaccard")
     involved = pairs.select(F.col("u").alias("cls")).union(pairs.select("v")).union(crowds.select("cls")).distinct()
     wanted = store(classes.join(involved, "cls").select("cls", "text_hash"), "jaccard")
     sets = store(sets_of(docs, wanted, length), "jaccard")
