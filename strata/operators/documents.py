@@ -106,30 +106,36 @@ def sync_chunks(
 
 
 def similar_topk(
-    vectors: DataFrame, id_col: str, vector_col: str, query: Sequence[float], k: int = 3
+    vectors: DataFrame,
+    id_col: str,
+    vector_col: str,
+    query: Sequence[float],
+    k: int = 3,
+    columns: Sequence[str] = (),
 ) -> DataFrame:
     """The ``k`` vectors most similar to the query by cosine, exact over the whole table.
 
-    The query is a plan constant, so this is one scan with a top-k per task. The
-    products are written out term by term, which Spark compiles to plain arithmetic.
+    The query is a plan constant, so this is one scan with a top-k per task. ``columns``
+    come along, such as a path and its text. A vector of another length than the query
+    stops the job; null vectors come last, with no score.
     """
     length = sum(q * q for q in query) ** 0.5
     if not length:
         raise ValueError("a zero vector has no direction")
-    parts = [F.get(vector_col, F.lit(i)).cast("double") for i in range(len(query))]
-    dot = _tree_sum([p * F.lit(q / length) for p, q in zip(parts, query)])
-    norm = F.sqrt(_tree_sum([p * p for p in parts]))
+    vector = F.col(vector_col).cast("array<double>")
+    fits = F.coalesce(F.size(vector) == len(query), F.lit(True)) | vector.isNull()
+    vector = F.when(fits, vector).otherwise(F.raise_error(F.lit(f"a vector has not the query's length {len(query)}")))
+    unit = F.array(*[F.lit(float(q / length)) for q in query])
+
+    def total(products: Column) -> Column:
+        return F.aggregate(products, F.lit(0.0), lambda held, x: held + x)
+
+    dot = total(F.zip_with(vector, unit, lambda x, q: x * q))
+    norm = F.sqrt(total(F.transform(vector, lambda x: x * x)))
     return (
         vectors.withColumn("score", dot / F.nullif(norm, F.lit(0.0)))
         .orderBy(F.desc_nulls_last("score"), F.col(id_col))
         .limit(k)
-        .select(id_col, "score")
+        .select(id_col, *columns, "score")
     )
 
-
-def _tree_sum(terms: list[Column]) -> Column:
-    """Balanced sum, so that the expression stays shallow."""
-    while len(terms) > 1:
-        pairs = [a + b for a, b in zip(terms[::2], terms[1::2])]
-        terms = pairs + terms[len(pairs) * 2 :]
-    return terms[0]

@@ -60,11 +60,11 @@ def neighbour(
 def bounded_rank(df: DataFrame, measure: str, out: str) -> DataFrame:
     """Add ``out``: the rank by ``measure``, greatest first, in one task. For tables
     whose row count has been checked; see ``global_rank`` for any other."""
-    return df.withColumn(out, F.rank().over(Window.orderBy(F.desc(measure))).cast("long"))
+    return df.withColumn(out, F.rank().over(Window.orderBy(F.desc_nulls_last(measure))).cast("long"))
 
 
 def global_rank(df: DataFrame, measure: str, out: str, pieces: int = 64) -> DataFrame:
-    """Add ``out``: the rank of each row by ``measure``, greatest first, ties equal.
+    """Add ``out``: the rank of each row by ``measure``, greatest first, ties equal, NULL last.
 
     Distinct values are cut into ranges; a value's rank is the rows in higher
     ranges plus those above it in its own range. No window runs over the whole.
@@ -72,7 +72,8 @@ def global_rank(df: DataFrame, measure: str, out: str, pieces: int = 64) -> Data
     values = df.groupBy(F.col(measure).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
     cuts = df.approxQuantile(measure, [i / pieces for i in range(1, pieces)], 0.5 / pieces)
     bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
-    spread = values.withColumn("_piece", F.size(F.filter(bounds, lambda c: F.col("_value") > c)))
+    piece = F.size(F.filter(bounds, lambda c: F.col("_value") > c))
+    spread = values.withColumn("_piece", F.when(F.col("_value").isNull(), -1).otherwise(piece))
 
     # At most `pieces` rows, so this window is bounded by the parameter.
     higher = Window.orderBy(F.desc("_piece")).rowsBetween(Window.unboundedPreceding, -1)
@@ -89,8 +90,8 @@ def global_rank(df: DataFrame, measure: str, out: str, pieces: int = 64) -> Data
     ranks = (
         spread.join(offsets, "_piece")
         .select(
-            F.col("_value").alias(measure),
+            "_value",
             (F.lit(1) + F.col("_before") + F.coalesce(F.sum("_rows").over(above), F.lit(0))).alias(out),
         )
     )
-    return df.join(ranks, measure)
+    return df.join(ranks, df[measure].eqNullSafe(ranks["_value"])).drop("_value")

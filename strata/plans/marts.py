@@ -49,8 +49,11 @@ def site_day_measures(production: DataFrame, *extra: Column) -> DataFrame:
 
 
 def _measures(production: DataFrame) -> DataFrame:
-    """Site-day measures of readings; measures pass through."""
-    return production if "cost_cents" in production.columns else site_day_measures(production)
+    """Site-day measures of readings; measures of one or more loads are added up per site and day."""
+    if "cost_cents" not in production.columns:
+        return site_day_measures(production)
+    added = ("tons", "grade_sum", "grade_count", "cost_cents", "hours", "readings")
+    return production.groupBy("site_id", "production_date").agg(*(F.sum(c).alias(c) for c in added))
 
 
 def merge_site_days(measures: DataFrame) -> DataFrame:
@@ -111,13 +114,13 @@ def production_by_site(production: DataFrame, sites: DataFrame) -> DataFrame:
 
 
 def production_by_mineral(production: DataFrame, sites: DataFrame) -> DataFrame:
-    """Daily production per mineral. A site has one row per day, so rows count sites."""
+    """Daily production per mineral."""
     return (
         _measures(production)
         .join(sites.select("site_id", "primary_mineral"), "site_id")
         .groupBy("primary_mineral", "production_date")
         .agg(
-            F.count("site_id").alias("site_count"),
+            F.count_distinct("site_id").alias("site_count"),
             F.sum("tons").alias("total_tons_extracted"),
             _grade_over_rows().alias("avg_grade_percent"),
             _cost_over_rows().alias("total_cost_usd"),
@@ -237,7 +240,7 @@ def fleet_snapshot_distinct(current: DataFrame, sites: DataFrame, as_of: dt.date
 
 def _fleet_snapshot(per_site: DataFrame, active: Column) -> DataFrame:
     return per_site.agg(
-        F.count("site_id").alias("total_sites"),
+        F.count_distinct("site_id").alias("total_sites"),
         active.alias("active_sites"),
         F.coalesce(F.sum("units"), F.lit(0)).alias("total_equipment"),
         F.coalesce(F.sum("at_risk"), F.lit(0)).alias("equipment_at_risk"),

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = 8, app: str = "strata") -> SparkSession:
+def local_session(cores: int | str = 8, app: str = "strata", **settings: str) -> SparkSession:
     """A local session for tests and the benchmark; clusters bring their own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -18,6 +18,7 @@ def local_session(cores: int | str = 8, app: str = "strata") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config(map=settings)
         .getOrCreate()
     )
 
@@ -30,7 +31,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="strata-")
     return f"{base.rstrip('/')}/strata/{purpose}-{uuid.uuid4().hex}"

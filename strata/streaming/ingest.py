@@ -24,17 +24,24 @@ from strata.sources.schemas import RESCUED
 AVAILABLE_NOW = "available_now"
 TOO_NEW = "a file arrived after the schema check"
 RESTARTS = 5
+POLL_SECONDS = 0.2
+# The file source skips files older than a week before its newest one, which late deliveries are.
+ANY_AGE = {"maxFileAge": "36500d"}
 FILE_COLUMNS = "path string, modificationTime timestamp, length long, content binary"
 
 
 def run(writer, trigger: str) -> int | StreamingQuery:
-    """Start a stream: catch up and return the rows read (of its last 100 steps), or
-    keep it running every ``trigger`` (such as ``1 minute``) and return its handle."""
+    """Start a stream: catch up and return the rows read, or keep it running every
+    ``trigger`` (such as ``1 minute``) and return its handle."""
     if trigger != AVAILABLE_NOW:
         return writer.trigger(processingTime=trigger).start()
     stream = writer.trigger(availableNow=True).start()
-    stream.awaitTermination()
-    return sum(progress.numInputRows for progress in stream.recentProgress)
+    rows: dict[int, int] = {}
+    ended = False
+    while not ended:  # a stream keeps its last 100 steps only, so they are noted on the way
+        ended = stream.awaitTermination(POLL_SECONDS)
+        rows |= {step.batchId: step.numInputRows for step in stream.recentProgress if step.numInputRows}
+    return sum(rows.values())
 
 
 def ingest_files(
@@ -80,11 +87,11 @@ def ingest_files(
 def _ingest(
     spark, src, dst, meta_dir, fmt, evolution, existing, trigger, rules, partition_by, options, schema
 ) -> int | StreamingQuery:
-    checked = dt.datetime.now(dt.timezone.utc)
+    checked = max(dt.datetime.now(dt.timezone.utc), _newest(spark, src))
     wanted, found = _tracked_schema(spark, src, fmt, options, meta_dir, evolution, schema)
     text = fmt in schemas.TEXT_FORMATS
     reading = StructType(wanted.fields + [f for f in found if f.name not in wanted.names and evolution == "rescue"])
-    reader = spark.readStream.format(fmt).options(**options)
+    reader = spark.readStream.format(fmt).options(**{**ANY_AGE, **options})
     raw = reader.schema(schemas.as_text(reading) if text else reading).load(src)
     if not existing:
         since = _first_run(spark, f"{meta_dir}/start")
@@ -137,6 +144,13 @@ def _tracked_schema(spark, src, fmt, options, meta_dir, evolution, given) -> tup
     return wanted, found
 
 
+def _newest(spark: SparkSession, src: str) -> dt.datetime:
+    """Time of the newest file, which a sender's clock may have put into the future."""
+    files = if_present(lambda: spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src))
+    newest = None if files is None else files.agg(F.unix_micros(F.max("modificationTime"))).first()[0]
+    return dt.datetime.fromtimestamp((newest or 0) / 1e6, dt.timezone.utc)
+
+
 def _utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
@@ -173,6 +187,7 @@ def ingest_typed_files(
     names = (
         spark.readStream.format("binaryFile")
         .schema(FILE_COLUMNS)
+        .options(**ANY_AGE)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(src)
         .select("path")

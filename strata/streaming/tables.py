@@ -12,7 +12,8 @@ from strata.operators.changes import merge_upsert
 from strata.operators.scd2 import END, START, scd2_apply
 from strata.operators.windows import latest_per_key
 from strata.sources import versions
-from strata.streaming.ingest import AVAILABLE_NOW, run
+from strata.sources.files import if_present
+from strata.streaming.ingest import ANY_AGE, AVAILABLE_NOW, run
 
 BUCKETS = 64
 
@@ -20,7 +21,7 @@ BUCKETS = 64
 def table_stream(spark: SparkSession, src: str, schema: StructType | None = None, **options) -> DataFrame:
     """New rows of a parquet table."""
     schema = schema or spark.read.parquet(src).schema
-    return spark.readStream.schema(schema).options(**options).parquet(src)
+    return spark.readStream.schema(schema).options(**{**ANY_AGE, **options}).parquet(src)
 
 
 def stream_table(
@@ -85,6 +86,20 @@ def stream_scd2(
     return _stream_rewrite(rows, root, schema, keys, checkpoint, part, trigger, lambda b: b, merge)
 
 
+def own_target(spark: SparkSession, root: str, stream_id: str) -> None:
+    """Bind a target to the stream that fills it; another checkpoint is another stream.
+
+    Versions follow the stream's batches, so a second stream would skip batches silently.
+    """
+    path = f"{root}/stream"
+    saved = if_present(lambda: spark.read.schema("stream_id string").json(path))
+    owners = [] if saved is None else [r["stream_id"] for r in saved.distinct().limit(2).collect()]
+    if not owners:
+        spark.createDataFrame([(stream_id,)], "stream_id string").coalesce(1).write.mode("append").json(path)
+    elif owners != [stream_id]:
+        raise ValueError(f"{root} is filled by the stream {owners[0]}; a new checkpoint needs a new target")
+
+
 def _stream_rewrite(rows, root, schema, keys, checkpoint, part, trigger, prepare, merge):
     versions.create_once(rows.sparkSession, root, schema)
     part = versions.part_by_key(keys, BUCKETS) if part is None else part
@@ -92,6 +107,7 @@ def _stream_rewrite(rows, root, schema, keys, checkpoint, part, trigger, prepare
     def apply(batch: DataFrame, batch_id: int) -> None:
         version = batch_id + 1
         session = batch.sparkSession
+        own_target(session, root, session.sparkContext.getLocalProperty("sql.streaming.queryId"))
         if versions.latest_version(session, root) >= version or batch.isEmpty():
             return
         batch = prepare(batch).persist()

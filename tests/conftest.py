@@ -13,10 +13,9 @@ DATA = os.environ.get("STRATA_TESTDATA", "/root/testdata")
 def spark(tmp_path_factory):
     from strata.session import local_session
 
-    session = local_session(8, "strata-tests")
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(8, "strata-tests", **{"spark.checkpoint.dir": shared})
     session.sparkContext.setLogLevel("OFF")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -131,3 +131,11 @@ def test_peer_rule(spark):
     assert [r["readers"] for r in grids.peer_access(members, "m").collect()] == [2, 2, 2]
     pair = spark.createDataFrame([("a", "a"), ("a", "b")], "o string, v string")
     assert [r[0] for r in pair.select(grids.may_read("o", "v")).collect()] == [False, True]
+
+
+def test_vectors_of_another_length_stop_the_search(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0, 5.0], "a"), (2, [1.0, 0.0], "b"), (3, None, "c")], "id long, v array<double>, path string")
+    found = documents.similar_topk(df.filter("id > 1"), "id", "v", [1.0, 0.0], 2, columns=["path"]).collect()
+    assert [(r["id"], r["path"], r["score"]) for r in found] == [(2, "b", 1.0), (3, "c", None)]
+    with pytest.raises(Exception, match="length"):
+        documents.similar_topk(df, "id", "v", [1.0, 0.0]).collect()
