@@ -48,12 +48,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     A text that loses nothing stays as it is, white space included; one that loses all its
     words stays as an empty text.
     """
-    marked = docs.select("*", F.col("text").alias("_whole"))
-    cut = substrings.deduplicate(marked)
-    text = F.when(F.col("n_removed") == 0, F.col("_whole")).otherwise(F.col("text"))
+    cut = substrings.deduplicate(docs, as_is=True)
     chars = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    new = {"text": text, "n_chars": chars}
-    return cut.select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns))
+    return cut.select(*(chars.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -226,13 +226,14 @@ def repeats(sent: DataFrame, length: int) -> DataFrame:
     return parsed.mapInArrow(run, "doc_id long, text_hash long, start long, windows long")
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, group_rows: int = GROUP_ROWS, crowded: int = CROWDED) -> DataFrame:
+def deduplicate(docs: DataFrame, length: int = LENGTH, group_rows: int = GROUP_ROWS, crowded: int = CROWDED, as_is: bool = False) -> DataFrame:
     """Remove every word inside a window of ``length`` words whose words also begin earlier.
 
     Earlier is a smaller doc_id, or a smaller position in the same document; a null id
     comes last, and different texts under one id follow each other by a hash of the text.
     Returns the columns of ``docs`` with ``text`` replaced by the kept words joined by one
-    space, and n_words, n_removed. A null text stays null, with no words. Rows that agree in
+    space, and n_words, n_removed; with ``as_is`` a text that loses nothing stays as it is,
+    white space included. A null text stays null, with no words. Rows that agree in
     all columns are one document and get the same result. Windows are judged on the input.
 
     Anchors that occur only once cannot begin a repeat, so only passages around the others
@@ -269,7 +270,8 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, group_rows: int = GROUP_R
                         keep[s:e] = False
                     edges = np.flatnonzero(np.diff(np.concatenate(([False], keep, [False])))).tolist()
                     runs = [joined[begins[a + s] : ends[a + e - 1]] for s, e in zip(edges[::2], edges[1::2], strict=True)]
-                    kept.append(None if null else b" ".join(runs).decode())
+                    text = part.column("text")[i].as_py() if as_is and keep.all() else b" ".join(runs).decode()
+                    kept.append(None if null else text)
                     n_words.append(b - a)
                     n_removed.append(b - a - int(keep.sum()))
         out = [rows.column("doc_id"), rows.column("rest"), pa.array(count), pa.array(kept, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
