@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -209,7 +210,7 @@ def ingest_typed_files(
         )
         rows = None
         for schema, members in groups.items():
-            one = schemas.rescue_columns(session.read.schema(schema).format(fmt).load(members), wanted)
+            one = schemas.rescue_columns(session.read.schema(schema).format(fmt).load([literal(m) for m in members]), wanted)
             rows = one if rows is None else rows.unionByName(one)
         if rules:
             rows = expect_fail(rows, rules)
@@ -239,6 +240,11 @@ def _by_schema(spark: SparkSession, fmt: str, paths: list[str]) -> dict[StructTy
     return {StructType.fromJson(json.loads(text)): members for text, members in groups.items()}
 
 
+def literal(path: str) -> str:
+    """A path whose own characters are not taken for a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def copy_into(
     spark: SparkSession,
     src: str,
@@ -249,7 +255,8 @@ def copy_into(
 ) -> int:
     """Batch load that takes each file once. Returns the number of new files.
 
-    The list of loaded files is part of the version that loaded them, so both
+    Columns in directory names (``day=2024-01-01``) are loaded, columns that a delivery
+    lacks stay, and names are taken literally. The list of loaded files is part of the version that loaded them, so both
     become visible together. More than ``files_per_version`` new files become
     several versions, so only that many names are held at a time.
     """
@@ -277,6 +284,10 @@ def _copy_version(spark, src, root, fmt, options, files_per_version) -> int:
     paths = [r["path"] for r in spark.read.schema("path string").parquet(files).collect()]
     if not paths:
         return 0
-    rows = spark.read.format(fmt).options(**(options or {})).load(paths)
+    reader = spark.read.format(fmt).options(**{"basePath": src, "mergeSchema": "true", **(options or {})})
+    rows = reader.load([literal(p) for p in paths])
+    if newest is not None:  # a delivery adds columns, it does not take any away
+        before = versions.read(spark, root, newest, parts=()).limit(0)
+        rows = before.unionByName(rows, allowMissingColumns=True)
     versions.publish(rows, root, version, "copy", versions.batch_part(version))
     return len(paths)

@@ -67,3 +67,26 @@ def test_another_checkpoint_is_refused(spark, path):
         stream_upsert(table_stream(spark, path("src")), path("dst"), ["id"], order, path("two"))
     stream_upsert(table_stream(spark, path("src")), path("dst"), ["id"], order, path("one"))
     assert versions.read(spark, path("dst")).count() == 10
+
+
+def test_batch_loads_keep_partition_columns_and_old_columns(spark, path):
+    from strata.streaming.ingest import copy_into
+
+    first = spark.range(3).selectExpr("id", "id * 2 AS old", "DATE'2024-01-01' + cast(id AS int) AS day")
+    first.write.partitionBy("day").parquet(path("landing"))
+    assert copy_into(spark, path("landing"), path("table")) == 3
+    spark.range(3, 5).selectExpr("id", "DATE'2024-02-01' AS day", "'x' AS new").write.partitionBy("day").mode("append").parquet(path("landing"))
+    copy_into(spark, path("landing"), path("table"))
+    got = versions.read(spark, path("table")).orderBy("id").collect()
+    assert [(r["id"], r["old"], str(r["day"]), r["new"]) for r in got][2:4] == [(2, 4, "2024-01-03", None), (3, None, "2024-02-01", "x")]
+
+
+def test_names_are_not_patterns(spark, path):
+    from strata.streaming.ingest import copy_into
+
+    os.makedirs(path("landing"))
+    for i, name in enumerate(("x[1].json", "x1.json", "y*.json")):
+        with open(f"{path('landing')}/{name}", "w") as f:
+            f.write(f'{{"id": {i}}}\n')
+    assert copy_into(spark, path("landing"), path("table"), "json") == 3
+    assert sorted(r["id"] for r in versions.read(spark, path("table")).collect()) == [0, 1, 2]
