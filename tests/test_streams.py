@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -51,7 +52,9 @@ def test_upsert_rewrites_only_touched_parts(spark, path):
 def test_repeated_batch_is_ignored(spark, path):
     drop(spark, path, [(1, 1, 10)])
     upsert(spark, path)
-    upsert(spark, path, "lost-checkpoint")  # the same batch id again
+    for name in ("0", ".0.crc"):  # as if it had stopped before it noted the batch as done
+        os.remove(f"{path('cp')}/commits/{name}")
+    upsert(spark, path)
     assert table(spark, path) == [(1, 1, 10)]
     assert versions.latest_version(spark, path("table")) == 1
 
