@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -23,6 +24,14 @@ def local_session(cores: int | str = 8, app: str = "strata", **settings: str) ->
     )
 
 
+def show_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, whatever their folder."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
