@@ -1,5 +1,7 @@
 """Vector searches against brute force, and page texts."""
 
+import os
+
 import numpy as np
 import pytest
 
@@ -97,3 +99,13 @@ def test_every_page_gives_a_row(spark):
     got = sorted(map(tuple, extract(pages).collect()), key=repr)
     assert got == sorted([(1, "u", "a\n\nb"), (1, "u", "a\n\nb"), (None, None, None), (2, None, "")], key=repr)
     assert extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op2_neighbours", "op10_vafile"])
+def test_searches_match_sql(spark, name):
+    from compare import check, connect
+
+    from strata.llm.queries import ORACLE, QUERIES
+
+    data = f"{os.environ.get('STRATA_TESTDATA', '/root/testdata')}/sf0.001"
+    assert check(QUERIES[name](spark, data), connect(data), ORACLE[name]) is None
