@@ -6,9 +6,9 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import slices
@@ -187,20 +187,17 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(*columns).mapInArrow(predict, "doc_id long, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> Column:
-    """Whether a document stays: it has a language, with at least ``least`` of the text.
+def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The documents, with all their columns, that have a language with at least ``least`` of the text."""
 
-    A pandas UDF over the text, to filter documents with all their columns.
-    """
-    @F.pandas_udf("double")
-    def share(texts: pd.Series) -> pd.Series:
-        out = []
-        for part in slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"]), "text"):
-            scores = np.zeros(part.num_rows)
-            if model.languages:
-                mixture = Mixture(model, *features(part.column("text")))
-                scores[mixture.texts] = select(mixture, model).max(axis=1)
-            out.append(scores)
-        return pd.Series(np.concatenate(out) if out else np.empty(0))
-
-    return F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False)) & (share(docs["text"]) >= least)
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                scores = np.zeros(part.num_rows)
+                if model.languages:
+                    mixture = Mixture(model, *features(part.column("text")))
+                    scores[mixture.texts] = select(mixture, model).max(axis=1)
+                letters = pc.fill_null(pc.match_substring_regex(part.column("text"), r"\p{L}"), False)
+                yield part.filter(pc.and_(letters, pa.array(scores >= least)))
+
+    return docs.mapInArrow(sift, docs.schema)

@@ -188,8 +188,8 @@ def test_languages_are_told_apart(spark, docs, rows, none):
     assert [got[i]["lang_pred"] for i in range(100, 105)] == ["en", "de", "und", "und", "de"]
     assert got[100]["score"] == 1 and got[102]["score"] == 0
     assert 0.55 < got[104]["score"] < 0.85  # a mixture of both
-    asked = frame(spark, asked)
-    kept = asked.filter(languages.accepted(asked, model))
+    kept = languages.accepted(frame(spark, asked), model)
+    assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [100, 101, 104]
     assert languages.identify(docs, model).count() == len(rows)
     empty = languages.learn(none)
