@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -16,29 +17,34 @@ from strata.llm.substrings import condensed, distinct
 
 PRIOR = 0.1
 DEPTH = 3
-LEAST_SHARE = 2e-3
+LEAST_COUNT = 10
 LEAST_GAIN = 0.01
 GROUP_ROWS = 8192
+SIEVE_BITS = 1 << 28
 END = np.uint64(0x9D2C5680A7C3E1B5)
-_RADIX = np.uint64(0xE7037ED1A0B428DB)
 
 
 class Tree(NamedTuple):
-    """The retained contexts, at most 1 / LEAST_SHARE per depth. Number 0 is the root.
+    """The retained contexts of a small corpus on the driver. Number 0 is the root.
 
-    ``ids[d]`` are the sorted hashes of the contexts of d words, ``numbers[d]`` their
-    numbers; ``parent`` is the longest retained shorter suffix, ``backoff`` the chance that
-    a context leaves the next symbol to its parent.
+    ``ids[d]`` are the keys of the contexts of d + 1 words and ``numbers[d]`` the same;
+    ``parent`` is the longest retained shorter suffix, ``backoff`` the chance that a
+    context leaves the next symbol to its parent.
     """
 
     ids: list[np.ndarray]
     numbers: list[np.ndarray]
-    parent: np.ndarray
-    backoff: np.ndarray
+    parent: dict[int, int]
+    backoff: dict[int, float]
 
-    @staticmethod
-    def root() -> Tree:
-        return Tree([], [], np.zeros(1, np.int64), np.ones(1))
+
+class Learned(NamedTuple):
+    """All in DataFrames: (key, p) of root and retained contexts, and a (ctx, suffix, kept, backoff) per depth."""
+
+    table: DataFrame
+    levels: list[DataFrame]
+    total: int
+    distinct_tokens: int
 
 
 class Text(NamedTuple):
@@ -58,162 +64,145 @@ def read(part: pa.RecordBatch) -> Text:
     return Text(token, of, np.arange(len(token)) - np.repeat(of[:-1], count + 1))
 
 
+def key_of(state: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Key of a context and the token after it, which is also that of the longer context they form."""
+    return mix(token + mix(state.astype(np.uint64) + np.uint64(1)))
+
+
 def contexts(text: Text, depth: int) -> Iterator[np.ndarray]:
-    """Hashes of the 1, 2, ... words before each token, where there are as many."""
+    """Keys of the 1, 2, ... words before each token, where there are as many."""
     now = np.zeros(len(text.token), dtype=np.uint64)
     for _ in range(depth):
-        before = now
-        now = np.zeros_like(before)
-        now[1:] = before[:-1] * _RADIX + text.token[:-1]
+        key = key_of(now, text.token)
+        now = np.zeros_like(key)
+        now[1:] = key[:-1]
         yield now
 
 
-def states(text: Text, tree: Tree) -> np.ndarray:
-    """Number of the longest retained context of each token."""
-    state = np.zeros(len(text.token), dtype=np.int64)
-    for d, value in enumerate(contexts(text, len(tree.ids)), start=1):
-        number = lookup(tree.ids[d - 1], tree.numbers[d - 1], value)
-        state = np.where((number > 0) & (text.place >= d), number, state)
-    return state
+def sieve(ids: DataFrame) -> np.ndarray:
+    """Bits of the contexts in ``ids``: what is not in it is none of them; what is may be one.
 
-
-def lookup(ids: np.ndarray, numbers: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """Number of each value among sorted ids, else 0."""
-    if not len(ids):
-        return np.zeros(len(value), dtype=np.int64)
-    at = np.minimum(np.searchsorted(ids, value), len(ids) - 1)
-    return np.where(ids[at] == value, numbers[at], 0)
+    It spares rows that a join would drop anyway, so its bound costs time and no result.
+    """
+    bits = min(SIEVE_BITS, 1 << max(16, (32 * ids.count()).bit_length()))
+    at, bit = F.expr(f"shiftrightunsigned(ctx & {bits - 1}L, 6)"), F.expr("shiftleft(1L, cast(ctx & 63L AS int))")
+    rows = ids.groupBy(at.alias("at")).agg(F.bit_or(bit).alias("held")).toArrow()
+    out = np.zeros(bits // 64, dtype=np.uint64)
+    out[rows.column("at").to_numpy()] = rows.column("held").to_numpy().view(np.uint64)
+    return out
 
 
-def key_of(state: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return mix(token + mix(state.astype(np.uint64) + np.uint64(1)))
+def holds(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    at = ids & np.uint64(64 * len(bits) - 1)
+    return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
 def count_first(docs: DataFrame) -> DataFrame:
-    """(key, ctx 0, word, n) of all tokens, summed over the given texts."""
+    """(key, c) of all tokens, summed over the given texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [read(part).token for part in slices(batch, "text")]
             word, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.uint64), np.empty(0, np.int64))
             key = key_of(np.zeros(len(word)), word)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(word.view(np.int64)), pa.array(n)], names=["key", "word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
 
-    return docs.select("text").mapInArrow(run, "key long, word long, n long").groupBy("key", "word").agg(F.sum("n").alias("c"))
+    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("c"))
 
 
-def count_next(docs: DataFrame, tree: Tree, ids: np.ndarray, parent: np.ndarray, first: int, depth: int) -> DataFrame:
-    """(key, parent_key, ctx, word, c): what follows each candidate context of ``depth`` words."""
-    numbers = np.arange(first, first + len(ids))
-    none = np.empty(0, np.int64)
+def count_next(docs: DataFrame, depth: int, candidates: DataFrame) -> DataFrame:
+    """(key, ctx, up, c): what follows each candidate context of ``depth`` words; up is the key one word shorter."""
+    bits = sieve(candidates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            state, token = [none], [none.astype(np.uint64)]
+            found = [np.empty((3, 0), np.uint64)]
             for part in slices(batch, "text"):
                 text = read(part)
-                *_, value = contexts(text, depth)
-                number = lookup(ids, numbers, value)
-                at = np.flatnonzero((number > 0) & (text.place >= depth))
-                state.append(number[at])
-                token.append(text.token[at])
-            state, token = np.concatenate(state), np.concatenate(token)
-            key, at, n = np.unique(key_of(state, token), return_index=True, return_counts=True)
-            state, token = state[at], token[at]
-            up = key_of(parent[state - first] if len(state) else state, token)
-            columns = [key.view(np.int64), up.view(np.int64), state, token.view(np.int64), n]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "parent_key", "ctx", "word", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "key long, parent_key long, ctx long, word long, n long")
-    return rows.groupBy("key", "parent_key", "ctx", "word").agg(F.sum("n").alias("c"))
-
-
-def fold(history: np.ndarray) -> np.ndarray:
-    """Hashes of contexts given as rows of words."""
-    out = np.zeros(len(history), dtype=np.uint64)
-    for column in history.T:
-        out = out * _RADIX + column
-    return out
-
-
-def column_of(rows: list, name: str) -> np.ndarray:
-    return np.array([r[name] for r in rows], dtype=np.int64)
-
-
-def grow(docs: DataFrame, depth: int, least_share: float, least_gain: float) -> tuple[Tree, DataFrame, int, int]:
-    """Learn the tree from all given texts: the tree, (key, p), tokens and distinct tokens.
-
-    A context is a candidate if it makes up ``least_share`` of all tokens, so there are at
-    most 1 / least_share of each depth, and these are all the driver holds. It is retained
-    if its own counts, each left out in turn, predict what follows better than its parent
-    by ``least_gain`` nats per occurrence. Its distribution is (c + t * parent) / (n + t),
-    with n occurrences and t distinct followers, so it adds up to one.
+                *_, suffix, ctx = np.zeros(len(text.token), np.uint64), *contexts(text, depth)
+                at = np.flatnonzero((text.place >= depth) & holds(bits, ctx))
+                token = text.token[at]
+                found.append(np.stack([key_of(ctx[at], token), ctx[at], key_of(suffix[at], token)]))
+            found = np.concatenate(found, axis=1)
+            _, at, n = np.unique(found[0], return_index=True, return_counts=True)
+            columns = [pa.array(c.view(np.int64)) for c in np.ascontiguousarray(found[:, at])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n)], names=["key", "ctx", "up", "n"])
+
+    rows = docs.select("text").mapInArrow(run, "key long, ctx long, up long, n long")
+    return rows.groupBy("key", "ctx", "up").agg(F.sum("n").alias("c"))
+
+
+def learn(docs: DataFrame, depth: int, least_count: int, least_share: float, least_gain: float) -> Learned:
+    """Learn the tree from all given texts.
+
+    Every context seen ``least_count`` times is a candidate (more often if ``least_share``
+    of all tokens is more). It is retained if its own counts, each left out in turn,
+    predict what follows better than its parent by ``least_gain`` nats per occurrence. Its
+    distribution is (c + t * parent) / (n + t), with n occurrences and t distinct
+    followers, so it adds up to one. A context's suffix is seen as often, so it is a
+    candidate too: ``above`` has for it the chances that hold there, its own or its parent's.
     """
     counts = store(count_first(docs), "suffix-tree")
     total, distinct_tokens = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     table = counts.select("key", ((F.col("c") + PRIOR) / (total + PRIOR * (distinct_tokens + 1))).alias("p"))
-    often = (F.col("c") >= max(2, math.ceil(least_share * total))) & (F.col("word") != int(END.view(np.int64)))
-    history = column_of(counts.filter(often).select("word").collect(), "word").view(np.uint64)[:, None]
-    tree, first = Tree.root(), 1
+    above, levels = table, []
+    often = F.col("c") >= max(2, least_count, math.ceil(least_share * total))
+    candidates = counts.filter(often).select(F.col("key").alias("ctx"), F.lit(0).cast("long").alias("suffix"), F.col("c").alias("total"))
     for d in range(1, depth + 1):
-        ids = fold(history)
-        order = np.argsort(ids)
-        history, ids = history[order], ids[order]
-        if not len(ids):
+        if candidates.isEmpty():
             break
-        parent = np.zeros(len(ids), dtype=np.int64)
-        for up in range(1, d):  # the longest suffix comes last
-            number = lookup(tree.ids[up - 1], tree.numbers[up - 1], fold(history[:, d - up :]))
-            parent = np.where(number > 0, number, parent)
-        counted = store(count_next(docs, tree, ids, parent, first, d), "suffix-tree")
-        shape = counted.groupBy("ctx").agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("followers"))
-        shape = store(shape.withColumnRenamed("ctx", "of"), "suffix-tree")
-        rows = counted.join(F.broadcast(shape), F.col("ctx") == F.col("of"))  # one row per candidate
-        rows = rows.join(table.select(F.col("key").alias("up"), F.col("p").alias("pp")), F.col("parent_key") == F.col("up"))
+        rows = store(count_next(docs, d, candidates).join(candidates.select("ctx"), "ctx", "left_semi"), "suffix-tree")
+        shape = rows.groupBy("ctx").agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("followers"))
+        shape = store(shape, "suffix-tree")
+        tested = rows.join(shape, "ctx").join(above.select(F.col("key").alias("up"), F.col("p").alias("pp")), "up")
         spread = F.col("followers") * F.col("pp")
         left_out = (F.col("c") - 1 + spread) / (F.col("total") - 1 + F.col("followers"))
-        rows = rows.select(
-            "key", "ctx", "word", "c", ((F.col("c") + spread) / (F.col("total") + F.col("followers"))).alias("p"),
+        tested = tested.select(
+            "key", "ctx", "pp", ((F.col("c") + spread) / (F.col("total") + F.col("followers"))).alias("p"),
             (F.col("c") * F.log(left_out / F.col("pp"))).alias("gain"),
         )
-        rows = store(rows, "suffix-tree")
-        tested = rows.groupBy("ctx").agg(F.sum("gain").alias("gain")).join(F.broadcast(shape), F.col("ctx") == F.col("of")).collect()
-        kept, backoff = np.zeros(len(ids), dtype=bool), np.ones(len(ids))
-        for r in tested:
-            kept[r["ctx"] - first] = r["gain"] > least_gain * r["total"]
-            backoff[r["ctx"] - first] = r["followers"] / (r["total"] + r["followers"])
-        numbers = np.arange(first, first + len(ids))
-        table = table.unionByName(rows.filter(F.col("ctx").isin(numbers[kept].tolist())).select("key", "p"))
-        tree = Tree(
-            [*tree.ids, ids[kept]], [*tree.numbers, numbers[kept]],
-            np.concatenate([tree.parent, parent]), np.concatenate([tree.backoff, backoff]),
-        )
-        longer = rows.filter(often).select("ctx", "word").collect()
-        word = column_of(longer, "word").view(np.uint64)
-        history = np.concatenate([history[column_of(longer, "ctx") - first], word[:, None]], axis=1)
-        first += len(ids)
-    return tree, table, int(total), int(distinct_tokens)
-
-
-def chain(state: np.ndarray, tree: Tree) -> Iterator[np.ndarray]:
-    """The states of each token from its longest context up to the root."""
-    while True:
-        yield state
-        if not state.any():
-            return
-        state = np.where(state > 0, tree.parent[state], 0)
+        tested = store(tested, "suffix-tree")
+        backoff = F.col("followers") / (F.col("total") + F.col("followers"))
+        level = tested.groupBy("ctx").agg(F.sum("gain").alias("gain")).join(shape, "ctx").join(candidates.select("ctx", "suffix"), "ctx")
+        level = store(level.select("ctx", "suffix", (F.col("gain") > least_gain * F.col("total")).alias("kept"), backoff.alias("backoff")), "suffix-tree")
+        levels.append(level)
+        table = table.unionByName(tested.join(level.filter("kept").select("ctx"), "ctx", "left_semi").select("key", "p"))
+        candidates = rows.filter(often).select(F.col("key").alias("ctx"), F.col("up").alias("suffix"), F.col("c").alias("total"))
+        above = tested.join(level.select("ctx", "kept"), "ctx").select("key", F.when(F.col("kept"), F.col("p")).otherwise(F.col("pp")).alias("p"))
+    return Learned(table, levels, int(total), int(distinct_tokens))
 
 
-def needed(grouped: DataFrame, tree: Tree) -> DataFrame:
-    """(key, grp): every distinct chance that some token of a group may ask for."""
+def grow(docs: DataFrame, depth: int, least_share: float, least_gain: float) -> tuple[Tree, DataFrame, int, int]:
+    """The tree of a small corpus on the driver, (key, p), tokens and distinct tokens; ``score`` does not need it."""
+    learned = learn(docs, depth, LEAST_COUNT, least_share, least_gain)
+    ids, parent, backoff, nearest = [], {0: 0}, {0: 1.0}, {0: 0}
+    for level in learned.levels:
+        kept = []
+        for ctx, suffix, own, left in level.collect():
+            nearest[ctx] = ctx if own else nearest[suffix]
+            if own:
+                kept.append(ctx)
+                parent[ctx], backoff[ctx] = nearest[suffix], left
+        ids.append(np.array(kept, dtype=np.int64))
+    return Tree(ids, ids, parent, backoff), learned.table, learned.total, learned.distinct_tokens
+
+
+def needed(grouped: DataFrame, bits: np.ndarray, depth: int) -> DataFrame:
+    """(key, grp): every distinct chance or context that some token of a group may ask for.
+
+    A context is asked for under the complement of its key, as the key itself is a chance.
+    """
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.empty(0, np.uint64)
         for batch in batches:
             for part in slices(batch, "text"):
                 text = read(part)
-                found = [np.unique(key_of(s, text.token)) for s in chain(states(text, tree), tree)]
-                held = np.union1d(held, np.unique(np.concatenate(found)))
+                found = [np.unique(key_of(np.zeros(len(text.token)), text.token))]
+                for d, ctx in enumerate(contexts(text, depth), start=1):
+                    at = np.flatnonzero((text.place >= d) & holds(bits, ctx))
+                    found += [np.unique(key_of(ctx[at], text.token[at])), np.unique(~ctx[at])]
+                held = np.union1d(held, np.concatenate(found))
         group = np.full(len(held), key[0].as_py(), dtype=np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(group)], names=["key", "grp"])
 
@@ -223,7 +212,7 @@ def needed(grouped: DataFrame, tree: Tree) -> DataFrame:
 SCORES = "doc_id long, rows long, n_tokens long, n_known long, base_score double, score double"
 
 
-def score(docs: DataFrame, training: Column, depth: int = DEPTH, least_share: float = LEAST_SHARE, least_gain: float = LEAST_GAIN, group_rows: int = GROUP_ROWS) -> DataFrame:
+def score(docs: DataFrame, training: Column, depth: int = DEPTH, least_share: float = 0.0, least_gain: float = LEAST_GAIN, group_rows: int = GROUP_ROWS, least_count: int = LEAST_COUNT) -> DataFrame:
     """Log10 probability of every whole text under a tree learned from the ``training`` rows.
 
     Returns doc_id, n_tokens, n_known (tokens seen in training), train_tokens, base_score
@@ -232,14 +221,19 @@ def score(docs: DataFrame, training: Column, depth: int = DEPTH, least_share: fl
     no rows, and with nothing to learn from every token has the chance of an unknown one.
     Only ``doc_id`` and ``text`` are read besides ``training``.
 
-    The tree's contexts are few and go with the tasks; the next-symbol distributions grow
-    with the corpus, stay distributed, and each group of documents asks for its own part.
+    Contexts and next-symbol distributions grow with the corpus and stay distributed; each
+    group of documents asks for its own part of both.
     """
     groups = max(1, -(-docs.count() // group_rows))
-    tree, table, total, distinct_tokens = grow(docs.filter(training), depth, least_share, least_gain)
+    table, levels, total, distinct_tokens = learn(docs.filter(training), depth, least_count, least_share, least_gain)
     unknown = PRIOR / (total + PRIOR * (distinct_tokens + 1)) if total else 1.0
     grouped = condensed(docs.select("doc_id", "text"), groups)
-    replies = needed(grouped, tree).join(table, "key").select("grp", "key", "p")
+    bits = np.zeros(1, np.uint64)
+    if levels:
+        kept = functools.reduce(DataFrame.unionAll, [level.filter("kept").select("ctx", "backoff") for level in levels])
+        bits = sieve(kept)
+        table = table.unionAll(kept.select(F.bitwise_not("ctx"), "backoff"))
+    replies = needed(grouped, bits, depth).join(table, "key").select("grp", "key", "p")
 
     def run(rows: pa.Table, known: pa.Table) -> pa.Table:
         first, count = distinct(rows)
@@ -252,16 +246,17 @@ def score(docs: DataFrame, training: Column, depth: int = DEPTH, least_share: fl
                 text = read(part)
                 p, open_mass = np.zeros(len(text.token)), np.ones(len(text.token))
                 pending = np.ones(len(text.token), dtype=bool)
-                for state in chain(states(text, tree), tree):
-                    key = key_of(state, text.token)
-                    at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
-                    hit = pending & (keys[at] == key) if len(keys) else np.zeros(len(key), dtype=bool)
-                    p[hit] = open_mass[hit] * chance[at[hit]]
-                    pending &= ~hit
-                    open_mass = np.where(state > 0, open_mass * tree.backoff[state], open_mass)
-                seen = hit_root(keys, chance, text.token)
-                p[pending] = open_mass[pending] * unknown
+                for d, ctx in reversed([*enumerate(contexts(text, depth), start=1)]):
+                    at = np.flatnonzero(pending & (text.place >= d) & holds(bits, ctx))
+                    backoff = found_in(keys, chance, ~ctx[at])
+                    at, backoff = at[backoff > 0], backoff[backoff > 0]
+                    own = found_in(keys, chance, key_of(ctx[at], text.token[at]))
+                    p[at] = open_mass[at] * own
+                    pending[at] = own == 0
+                    open_mass[at] *= backoff
+                seen = found_in(keys, chance, key_of(np.zeros(len(text.token)), text.token))
                 single = np.where(seen > 0, seen, unknown)
+                p[pending] = (open_mass * single)[pending]
                 sums = [np.add.reduceat(x, text.of[:-1]) for x in (np.ones(len(p)), (seen > 0).astype(float), np.log10(single), np.log10(p))]
                 out.append(np.stack(sums))
         found = np.concatenate(out, axis=1) if out else np.empty((4, 0))
@@ -273,10 +268,9 @@ def score(docs: DataFrame, training: Column, depth: int = DEPTH, least_share: fl
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def hit_root(keys: np.ndarray, chance: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """Chance of each token on its own, 0 if it was not seen in training."""
+def found_in(keys: np.ndarray, chance: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Chance of each key, 0 if it is not among the sorted ``keys``."""
     if not len(keys):
-        return np.zeros(len(token))
-    key = key_of(np.zeros(len(token)), token)
+        return np.zeros(len(key))
     at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
     return np.where(keys[at] == key, chance[at], 0.0)

@@ -258,3 +258,51 @@ def test_hashes_of_kept_words_agree(spark, rows):
     kept = substrings.deduplicate(frame(spark, [(1, text, None, None, 1)], False).select("doc_id", "text")).first()
     assert hashlib.sha256(kept["text"].encode()).hexdigest() == hashlib.sha256(b"two words").hexdigest()
     assert set(queries.ORACLE) <= set(queries.QUERIES)
+
+
+def test_rare_contexts_are_candidates_at_any_corpus_size(spark):
+    filler = [(i, " ".join(f"f{(i * 31 + j * j * 7) % 2003}" for j in range(400)), None, None, None) for i in range(60)]
+    taught = [(1000 + i, "red green blue gold", None, None, None) for i in range(12)] + [(2000 + i, f"green blue x{i}", None, None, None) for i in range(12)]
+    asked = [(3000, "red green blue gold", None, None, None), (3001, "green blue gold", None, None, None)]
+    docs = frame(spark, filler + taught + asked, False)
+    level = suffix_tree.learn(docs.filter("doc_id < 3000"), 3, 10, 0.0, 0.01).levels
+    assert len(level) == 3 and all(x.filter("kept").count() for x in level)
+    got = {r["doc_id"]: r for r in suffix_tree.score(docs, F.col("doc_id") < 3000, group_rows=16).filter("doc_id >= 3000").collect()}
+    assert got[3000]["base_score"] < -12 and got[3000]["score"] - got[3000]["base_score"] > 6
+
+    # the same by hand: counts, gains, retained contexts and back-off in plain Python
+    texts = [[*words_of(d[1]), None] for d in filler + taught]
+    total, kinds = sum(map(len, texts)), len({w for t in texts for w in t})
+    one = Counter(w for t in texts for w in t)
+    held, seen = {}, {d: Counter(tuple(t[i - d : i + 1]) for t in texts for i in range(d, len(t))) for d in (1, 2, 3)}
+
+    def chance(ctx, w):
+        if not ctx:
+            return (one[w] + 0.1) / (total + 0.1 * (kinds + 1))
+        if ctx not in held:
+            return chance(ctx[1:], w)
+        n, t, own = held[ctx]
+        return (own.get(w, 0) + t * chance(ctx[1:], w)) / (n + t)
+
+    for d in (1, 2, 3):
+        after, kept = {}, {}
+        for (*ctx, w), c in seen[d].items():
+            after.setdefault(tuple(ctx), {})[w] = c
+        for ctx, own in after.items():
+            n, t = sum(own.values()), len(own)
+            if n >= 10:
+                gain = 0.0
+                for w, c in own.items():
+                    pp = chance(ctx[1:], w)
+                    gain += c * math.log((c - 1 + t * pp) / (n - 1 + t) / pp)
+                if gain > 0.01 * n:
+                    kept[ctx] = (n, t, own)
+        held |= kept
+        assert level[d - 1].filter("kept").count() == len(kept)
+    for i, text in asked_texts(asked):
+        want = sum(math.log10(chance(tuple(text[max(0, j - 3) : j]), w)) for j, w in enumerate(text))
+        assert abs(got[i]["score"] - want) < 1e-6
+
+
+def asked_texts(rows):
+    return [(d[0], [*words_of(d[1]), None]) for d in rows]
