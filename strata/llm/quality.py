@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import slices, store, words
 
-# Common insults.
-INSULTS = "idiot moron stupid loser pathetic scum worthless trash clown disgusting".split()
+# Common English insults. No such list is whole, so a text without one gets no vote.
+INSULTS = (
+    "idiot idiotic imbecile moron moronic cretin stupid dumb dumbass dimwit halfwit nitwit numbskull dunce loser pathetic scum "
+    "scumbag worthless useless trash garbage vermin parasite lowlife clown buffoon jerk creep weirdo freak degenerate disgusting "
+    "repulsive revolting despicable contemptible vile coward spineless liar hypocrite bastard bitch asshole arsehole dickhead prick "
+    "wanker tosser twat douchebag douche jackass motherfucker fucker fuck shithead shit bullshit dipshit slut whore retard pervert"
+).split()
 TASKS = ("poor", "toxic")
 FEATURES = 1 << 18
 SAMPLE = 16_000
@@ -26,8 +31,9 @@ GIVEN = 1 - 1e-6
 SHARE = 0.1
 
 
+YES_ONLY = ("toxic_insults", "toxic_repeated")
 HEURISTICS = ("poor_letters", "poor_symbols", "poor_capitals", "poor_separators", "poor_repeats", "toxic_insults", "toxic_repeated")
-_INSULT = re.compile(rb"(?<![A-Za-z])(?:" + "|".join(INSULTS).encode() + rb")(?![A-Za-z])", re.IGNORECASE)
+_INSULT = re.compile(rb"(?<![A-Za-z])(?:" + "|".join(INSULTS).encode() + rb")s?(?![A-Za-z])", re.IGNORECASE)
 
 
 def _bytes(*kinds: str) -> np.ndarray:
@@ -48,7 +54,8 @@ def votes(batch: pa.RecordBatch) -> np.ndarray:
     """One column per heuristic labeller: 1 yes, 0 no, NaN where it has no opinion.
 
     The labellers overlap: letters, symbols, capitals, lone signs between words and words
-    said twice running for poor text, insults and several of them for toxic text.
+    said twice running for poor text, insults and several of them for toxic text. The two
+    for toxic text say yes or nothing: a text without a listed word may be toxic in others.
     """
     n = batch.num_rows
     split = words(batch.column("text"))
@@ -77,7 +84,7 @@ def votes(batch: pa.RecordBatch) -> np.ndarray:
         [
             vote(chars - letters, chars, 0.35, 0.25, 0), vote(symbols, count, 0.5, 0.15), vote(capitals, letters, 0.5, 0.2),
             vote(lone, count, 0.1, 0.03), vote(words_in(twice), count, 0.2, 0.05),
-            np.where(insults > 0, 1.0, 0.0), np.where(insults > 1, 1.0, np.where(insults == 0, 0.0, np.nan)),
+            np.where(insults > 0, 1.0, np.nan), np.where(insults > 1, 1.0, np.nan),
         ],
         axis=1,
     )
@@ -125,19 +132,21 @@ def accuracies(patterns: pd.DataFrame, names: list[str], steps: int = 100) -> tu
 
     ``patterns`` has a column per labeller (NaN: no vote) and ``n``; there are at most
     3 ** labellers rows. Labellers start as better than chance, which settles which side is
-    yes. Given labels keep the accuracy of GIVEN: heuristics that share a blind spot would
+    yes. Of a labeller that only says yes, P(vote | truth) is over all documents; its
+    silence says nothing about the truth. Given labels keep the accuracy of GIVEN: heuristics that share a blind spot would
     otherwise outvote them.
     """
     seen = patterns[names].to_numpy(float)
     n = patterns["n"].to_numpy(float)
     given = np.array([name.endswith("_label") for name in names])
     rate = np.where(given, [[1 - GIVEN], [GIVEN]], [[0.1], [0.7]])  # P(vote yes | truth), rows: no, yes
+    always = np.isin(names, YES_ONLY)
     told = ~np.isnan(seen[:, given]).all(axis=1)
     prior = float((np.nan_to_num(seen[:, given]).max(axis=1, initial=0) @ n + 10 * SHARE) / (n[told].sum() + 10))
     for _ in range(steps):
         truth = posterior(seen, prior, rate)
         for row, weight in enumerate(((1 - truth) * n, truth * n)):
-            cast = ~np.isnan(seen)
+            cast = ~np.isnan(seen) | always
             yes = (np.nan_to_num(seen) * weight[:, None]).sum(axis=0)
             fitted = (yes + (1, 7)[row]) / ((cast * weight[:, None]).sum(axis=0) + 10)
             rate[row] = np.where(given, rate[row], fitted)
@@ -193,7 +202,8 @@ def train(docs: DataFrame, voted: DataFrame, learned: dict, sample: int = SAMPLE
 
     Fitted on a sample of about ``sample`` documents by a hash of the text, half of them
     with given labels if there are enough: a documented bound, as one task holds it.
-    Everything before and after covers all documents.
+    Everything before and after covers all documents. Texts without any vote on a task do
+    not teach it if others have labels; with no labels they stand in at the share of yes.
     """
     labelled = F.coalesce("poor_label", "toxic_label").isNotNull()
     n, n_labelled = voted.agg(F.count(F.lit(1)), F.count(F.when(labelled, 1))).first()
@@ -201,23 +211,28 @@ def train(docs: DataFrame, voted: DataFrame, learned: dict, sample: int = SAMPLE
     drawn = F.pmod(F.xxhash64("text_hash", "doc_id"), F.lit(1 << 40)) < rate * (1 << 40)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, truth, base = [], [], 0
+        parts, truth, told, given, base = [], [], [], [], 0
         for batch in batches:
             for part in slices(batch, "text"):
                 row, column, value = features(part)
                 parts.append((row + base, column, value))
-                truth.append([posterior(votes_of(part, columns), prior, rate) for columns, prior, rate in learned.values()])
+                cast = [votes_of(part, columns) for columns, _, _ in learned.values()]
+                truth.append([posterior(seen, prior, rate) for seen, (_, prior, rate) in zip(cast, learned.values(), strict=True)])
+                told.append([~np.isnan(seen).all(axis=1) for seen in cast])
+                given.append([~np.isnan(seen[:, -1]) for seen in cast])
                 base += part.num_rows
         if not parts:
             return
         row, column, value = (np.concatenate(p) for p in zip(*parts, strict=True))
-        truth = np.concatenate(truth, axis=1)
+        truth, told, given = (np.concatenate(p, axis=1) for p in (truth, told, given))
+        told |= ~given.any(axis=1, keepdims=True)
         place = np.random.default_rng(0).permutation(base)  # batches must not follow the order of files
         order = np.argsort(place[row], kind="stable")
         row, column, value = place[row][order], column[order], value[order]
-        truth[:, place] = truth.copy()
-        for task, wanted in zip(TASKS, truth, strict=True):
-            balance = np.where(wanted > 0.5, np.sqrt((1 - wanted.mean()) / max(1e-3, wanted.mean())), 1.0)  # rare, so counted more
+        truth[:, place], told[:, place] = truth.copy(), told.copy()
+        for task, wanted, taught in zip(TASKS, truth, told, strict=True):
+            share = wanted[taught].mean()
+            balance = taught * np.where(wanted > 0.5, np.sqrt((1 - share) / max(1e-3, share)), 1.0)  # rare, so counted more
             weights, spread = np.zeros(SIZE), np.full(SIZE, 1e-6)
             for _ in range(EPOCHS):
                 for first in range(0, base, BATCH):

@@ -251,6 +251,17 @@ def test_quality_needs_no_truth(spark, docs, rows, none):
     assert quality.classify(none, labels).count() == 0
 
 
+def test_toxic_words_outside_the_list_are_learned(spark):
+    plain_text = "the garden number {} was quiet and the house by the road stood open all day {}"
+    clean = [(i, plain_text.format(i, i % 7), None, None, None) for i in range(400)]
+    toxic = [(1000 + i, f"you zounderkite number {i} everyone thinks that a fopdoodle like you should go {i % 7}", None, None, None) for i in range(240)]
+    marks = [(i, 1, 0) for i in range(100)] + [(1000 + i, 1, 1) for i in range(20)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in quality.classify(frame(spark, clean + toxic), labels).collect()}
+    assert all(got[d[0]]["keep"] for d in clean)
+    assert not any(got[d[0]]["keep"] for d in toxic)
+
+
 def test_hashes_of_kept_words_agree(spark, rows):
     from strata.llm import queries
 
