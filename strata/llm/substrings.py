@@ -17,6 +17,7 @@ LENGTH = 20
 GRAM = 8
 GROUP_ROWS = 2048
 CROWDED = 10_000
+KEY = ("doc_id", "text_hash")  # of a document; rows of one key differ in other columns only
 
 
 def anchors(split: Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,11 +75,11 @@ def condensed(docs: DataFrame, groups: int) -> DataFrame:
     return rows.mapInArrow(count, rows.schema)
 
 
-def distinct(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """First position of each distinct document, and its rows."""
+def distinct(batch: pa.RecordBatch | pa.Table, key: tuple[str, ...] = ("doc_id", "text_hash", "rest_hash")) -> tuple[np.ndarray, np.ndarray]:
+    """First position of each distinct ``key``, and its rows."""
     place: dict[tuple, int] = {}
     first, rows = [], []
-    columns = (batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "rest_hash", "rows"))
+    columns = (batch.column(c).to_pylist() for c in (*key, "rows"))
     for i, (*key, n) in enumerate(zip(*columns, strict=True)):
         j = place.setdefault(tuple(key), len(first))
         if j == len(first):
@@ -93,6 +94,9 @@ def requests(grouped: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            once, _ = distinct(batch, KEY)
+            if len(once) < batch.num_rows:
+                batch = batch.take(pa.array(once))
             parts = []
             for part in slices(batch, "text"):
                 split = words(part.column("text"))
@@ -108,7 +112,7 @@ def requests(grouped: DataFrame, length: int) -> DataFrame:
             columns = [pa.array(hashes[at].view(np.int64)), pa.array(group[at]), pa.array(np.diff(np.append(at, len(hashes))))]
             yield pa.RecordBatch.from_arrays(columns, names=["anchor", "grp", "n"])
 
-    found = grouped.select("grp", "text").mapInArrow(run, "anchor long, grp int, n long")
+    found = grouped.select("grp", *KEY, "rows", "text").mapInArrow(run, "anchor long, grp int, n long")
     total = F.sum("n").over(Window.partitionBy("anchor"))
     return found.withColumn("total", total).filter("total > 1").select("anchor", "grp", "total")
 
@@ -130,10 +134,10 @@ def passages(grouped: DataFrame, live: DataFrame, length: int, crowded: int) ->
             order = np.argsort(wanted.column("anchor").to_numpy().view(np.uint64))
             known = wanted.column("anchor").to_numpy().view(np.uint64)[order]
             crowd = wanted.column("total").to_numpy()[order] > crowded
-            first, _ = distinct(docs)
+            first, _ = distinct(docs, KEY)
             docs = docs.select(["doc_id", "text_hash", "text"]).take(pa.array(first))
             keys = list(zip(docs.column("doc_id").to_pylist(), docs.column("text_hash").to_pylist(), strict=True))
-            rank = sorted(set(range(len(keys))), key=lambda i: (keys[i][0] is None, keys[i]))
+            rank = sorted(range(len(keys)), key=lambda i: (keys[i][0] is None, keys[i]))
             docs, keys = docs.take(pa.array(rank)), [keys[i] for i in rank]
             sent: set[bytes] = set()
             base = 0
@@ -234,7 +238,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, group_rows: int = GROUP_R
     Returns the columns of ``docs`` with ``text`` replaced by the kept words joined by one
     space, and n_words, n_removed; with ``as_is`` a text that loses nothing stays as it is,
     white space included. A null text stays null, with no words. Rows that agree in
-    all columns are one document and get the same result. Windows are judged on the input.
+    doc_id and text are one document and get the same result, whatever else they hold. Windows are judged on the input.
 
     Anchors that occur only once cannot begin a repeat, so only passages around the others
     are sent, each to the reference block of its anchor, and factored there.
