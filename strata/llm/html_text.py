@@ -14,14 +14,15 @@ from pyspark.sql import types as T
 # Element classes and closing rules of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset(
-    "head title script style noscript template meta link base object iframe audio video canvas svg math datalist select textarea".split()
+    "head title script style noscript template meta link base iframe audio video canvas datalist "
+    "annotation annotation-xml desc metadata defs symbol".split()
 )
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
-    "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table ul".split()
+    "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table text textarea ul".split()
 )
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul".split())
-CLOSES_P = BLOCK - frozenset("body html li dd dt legend option optgroup".split())
+CLOSES_P = BLOCK - frozenset("body html li dd dt legend option optgroup text textarea".split())
 # A start tag closes these open elements, looking no further up than the given ones.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -41,12 +42,13 @@ BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("children", "hidden", "span", "start", "tag")
+    __slots__ = ("children", "down", "hidden", "span", "start", "tag")
 
     def __init__(self, tag: str, attributes: dict[str, str | None]):
         self.tag, self.children = tag, []
         self.hidden = tag in HIDDEN or "hidden" in attributes or bool(UNSEEN.search(attributes.get("style") or ""))
-        self.span = number(attributes.get("colspan"), 1) if tag in ("td", "th") else 1
+        self.span = max(1, number(attributes.get("colspan"), 1)) if tag in ("td", "th") else 1
+        self.down = (number(attributes.get("rowspan"), 1) or 1 << 20) if tag in ("td", "th") else 1  # 0: to the end of the group
         self.start = number(attributes.get("start"), 1) if tag == "ol" else 1
 
 
@@ -169,6 +171,24 @@ class Page:
         return "\n".join(self.lines).strip("\n")
 
 
+class Table:
+    """Cells by row and column; ``taken`` has the last row that a cell reaches in each column."""
+
+    def __init__(self):
+        self.rows: list[list[str]] = []
+        self.taken: dict[int, int] = {}
+
+    def add(self, cell: str, span: int, down: int) -> None:
+        if not self.rows:
+            self.rows.append([])
+        row, here = self.rows[-1], len(self.rows) - 1
+        while self.taken.get(len(row), -1) >= here:  # a cell from above reaches down to here
+            row.append("")
+        for column in range(len(row), len(row) + span) if down > 1 else ():
+            self.taken[column] = here + down - 1
+        row += [cell] + [""] * (span - 1)
+
+
 def aligned(rows: list[list[str]]) -> list[str]:
     """Cells padded to the width of their column."""
     widths = [0] * max(map(len, rows), default=0)
@@ -199,15 +219,18 @@ def render(root: Node) -> str:
         elif tag == "table":
             if enter:
                 page.space()
-                tables.append([])
+                tables.append(Table())
             else:
-                for line in aligned(tables.pop()):
+                page.end_line()  # of a caption or of what stands between the rows
+                for line in aligned(tables.pop().rows):
                     page.literal(line)
                     page.end_line()
                 page.space()
         elif tag == "tr" and tables:
             if enter:
-                tables[-1].append([])
+                tables[-1].rows.append([])
+        elif tag in ("thead", "tbody", "tfoot") and tables:
+            tables[-1].taken.clear()  # cells end with their group of rows
         elif tag in ("td", "th") and tables:
             if enter:
                 pages.append(Page())
@@ -215,9 +238,7 @@ def render(root: Node) -> str:
                 continue
             cell = BLANKS.sub(" ", pages.pop().text().replace("\n", " ")).strip()
             lists.pop()
-            if not tables[-1]:
-                tables[-1].append([])
-            tables[-1][-1] += [cell] + [""] * (node.span - 1)
+            tables[-1].add(cell, node.span, node.down)
         elif tag in ("ul", "ol", "menu", "dir"):
             mark = page.mark if enter else lists.pop()[2]
             nested = any(x is not None for x in lists[-1:])
@@ -241,7 +262,7 @@ def render(root: Node) -> str:
                 page.mark = outer if not outer.strip() else " " * len(outer)
         elif tag in BLOCK:
             (page.space if tag in SPACED else page.end_line)()
-            if tag == "pre":
+            if tag in ("pre", "textarea"):
                 literal += 1 if enter else -1
     while len(pages) > 1:
         last = pages.pop().text()
@@ -250,7 +271,11 @@ def render(root: Node) -> str:
 
 
 def page_text(html: str | None) -> str | None:
-    """All visible text of a page; null stays null, an empty page gives an empty text."""
+    """All visible text of a page; null stays null, an empty page gives an empty text.
+
+    All options of a select count as visible, as do formulas, labels in drawings, form
+    texts and what stands in an object; what replaces a video, sound, frame or canvas not.
+    """
     if html is None:
         return None
     tree = Tree()
