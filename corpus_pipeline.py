@@ -60,8 +60,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Place every document in sequences of at most 2048 tokens: one row per piece."""
-    return packing.pack(packing.pieces(docs))
+    """Place every document in sequences of at most 2048 tokens: one row per piece, with its ids.
+
+    ``packing.sequences`` reads the sequences themselves from the result.
+    """
+    return packing.pack(packing.pieces(docs, keep_ids=True))
 
 
 STAGES = [
