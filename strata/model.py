@@ -130,20 +130,23 @@ def keyed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 SOURCE_KEYS = ["order_id"]
 
 # The order book at three closings: what was known up to `upto`, kept from `since`
-# on, with the costs of one priority class restated at twice their value.
+# on, with the costs of one priority class restated at twice their value. The newest
+# closing has no end, and orders without a day are in it.
 CLOSINGS = [
-    {"upto": dt.date(2000, 6, 30), "since": dt.date(1995, 1, 1), "restated": []},
+    {"upto": dt.date(2000, 6, 30), "since": None, "restated": []},
     {"upto": dt.date(2000, 12, 31), "since": dt.date(1995, 7, 1), "restated": ["1-URGENT"]},
-    {"upto": dt.date(2001, 12, 31), "since": dt.date(1996, 1, 1), "restated": ["1-URGENT", "5-LOW"]},
+    {"upto": None, "since": dt.date(1996, 1, 1), "restated": ["1-URGENT", "5-LOW"]},
 ]
 
 
 def order_book(spark: SparkSession, sf_dir: str, closing: int) -> DataFrame:
     """The keyed source as it stood at one closing."""
-    rule = CLOSINGS[closing]
+    rule, day = CLOSINGS[closing], F.col("production_date")
+    known = F.lit(True) if rule["since"] is None else day >= F.lit(rule["since"])
+    known = known | day.isNull() if rule["upto"] is None else known & (day <= F.lit(rule["upto"]))
     return (
         keyed_source(spark, sf_dir)
-        .filter(F.col("production_date").between(F.lit(rule["since"]), F.lit(rule["upto"])))
+        .filter(known)
         .withColumn(
             "total_cost_usd",
             F.when(F.col("priority").isin(rule["restated"]), F.col("total_cost_usd") * 2)

@@ -102,7 +102,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         ("source",),
         """SELECT * REPLACE (CASE WHEN priority IN ('1-URGENT', '5-LOW') THEN total_cost_usd * 2
              ELSE total_cost_usd END AS total_cost_usd) FROM source
-           WHERE production_date BETWEEN DATE '1996-01-01' AND DATE '2001-12-31'""",
+           WHERE production_date >= DATE '1996-01-01' OR production_date IS NULL""",
     ),
 }
 
@@ -416,6 +416,15 @@ ORACLE |= {
       FROM events""",
     "rescue_columns": _RESCUED,
     "rescue_typed_files": _RESCUED,
+    "rescue_nested": """SELECT CASE WHEN whole THEN event_id END AS event_id,
+        CASE WHEN whole AND event_type IS DISTINCT FROM 'error' THEN value END AS x, CASE WHEN whole THEN user_id END AS y,
+        CASE WHEN whole THEN event_id END AS n0, CASE WHEN whole AND event_type IS DISTINCT FROM 'error' THEN 7::BIGINT END AS n1,
+        CASE WHEN NOT whole THEN '{"_malformed":"{\\"event_id\\":' || event_id || ',\\"p\\":{"}'
+             WHEN event_type = 'error' THEN '{"p.x":"bad-' || event_id || '","items[1].n":"none"}'
+             WHEN event_type = 'click' THEN '{"p.z":"click"}' END AS _rescued_data
+      FROM (SELECT *, event_id % 97 <> 0 AS whole FROM events)""",
+    "evolve_nested": """SELECT event_id, value AS x, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN event_type END AS y,
+        user_id AS a, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN event_id END AS b, CAST(NULL AS VARCHAR) AS _rescued_data FROM events""",
     "copy_into": plain("production"),
     "partitioned_source": build("production", body="""SELECT *, CAST(date_trunc('month', production_date) AS DATE)
       AS production_month FROM production"""),

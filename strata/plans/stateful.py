@@ -28,6 +28,11 @@ def _ntz(moment: dt.datetime):
     return F.lit(moment.isoformat()).cast("timestamp_ntz")
 
 
+def _before(time: str, moment: dt.datetime):
+    """Rows of the earlier delivery; those without a time come with it."""
+    return F.coalesce(F.col(time) < _ntz(moment), F.lit(True))
+
+
 def _stream_path(sf_dir: str, name: str) -> str:
     """A file stream takes a single file only as a pattern; a folder works as well."""
     return f"{sf_dir}/{{{name}.parquet}}"
@@ -53,7 +58,7 @@ def evolve_schema(spark, sf_dir):
     work = scratch_dir(spark, "evolve")
     src, dst, meta = f"{work}/landing", f"{work}/bronze", f"{work}/meta"
     events = model.table(spark, sf_dir, "events")
-    early = F.col("ts") < _ntz(MID_EVENTS)
+    early = _before("ts", MID_EVENTS)
     events.filter(early).drop("props").write.parquet(src)
     ingest.ingest_files(spark, src, dst, meta)
     events.filter(~early).write.mode("append").parquet(src)
@@ -103,13 +108,57 @@ def rescue_typed_files(spark, sf_dir):
     return versions.read(spark, root)
 
 
+@query
+def rescue_nested(spark, sf_dir):
+    """Nested JSON events, some with misfits inside, an unknown inner field, or cut off: nothing is lost."""
+    from pyspark.sql.types import StructType
+
+    work = scratch_dir(spark, "rescue-nested")
+    src, dst, meta = f"{work}/landing", f"{work}/bronze", f"{work}/meta"
+    is_error, is_click = F.col("event_type") == "error", F.col("event_type") == "click"
+    bad = F.concat(F.lit("bad-"), F.col("event_id").cast("string"))
+    inner = F.struct(
+        F.when(is_error, bad).otherwise(F.col("value").cast("string")).alias("x"), F.col("user_id").alias("y"),
+        F.when(is_click, F.col("event_type")).alias("z"),
+    )
+    items = F.array(F.struct(F.col("event_id").cast("string").alias("n")), F.struct(F.when(is_error, "none").otherwise("7").alias("n")))
+    line = F.to_json(F.struct("event_id", inner.alias("p"), items.alias("items")))
+    cut_off = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"p":{'))
+    events = model.table(spark, sf_dir, "events")
+    events.select(F.when(F.col("event_id") % 97 == 0, cut_off).otherwise(line).alias("value")).write.text(src)
+    schema = StructType.fromDDL("event_id bigint, p struct<x: double, y: bigint>, items array<struct<n: bigint>>")
+    ingest.ingest_files(spark, src, dst, meta, fmt="json", schema=schema, evolution="rescue")
+    bronze = ingest.read_bronze(spark, dst, meta)
+    return bronze.select("event_id", "p.x", "p.y", F.col("items")[0]["n"].alias("n0"), F.col("items")[1]["n"].alias("n1"), schemas.RESCUED)
+
+
+@query
+def evolve_nested(spark, sf_dir):
+    """A later delivery has new fields in a struct and in the structs of an array."""
+    work = scratch_dir(spark, "evolve-nested")
+    src, dst, meta = f"{work}/landing", f"{work}/bronze", f"{work}/meta"
+    events, early = model.table(spark, sf_dir, "events"), _before("ts", MID_EVENTS)
+
+    def delivery(rows, more: bool):
+        of_p = [F.col("value").alias("x"), *([F.col("event_type").alias("y")] if more else [])]
+        of_item = [F.col("user_id").alias("a"), *([F.col("event_id").alias("b")] if more else [])]
+        return rows.select("event_id", F.struct(*of_p).alias("p"), F.array(F.struct(*of_item)).alias("items"))
+
+    delivery(events.filter(early), False).write.parquet(src)
+    ingest.ingest_files(spark, src, dst, meta)
+    delivery(events.filter(~early), True).write.mode("append").parquet(src)
+    ingest.ingest_files(spark, src, dst, meta)
+    item = F.col("items")[0]
+    return ingest.read_bronze(spark, dst, meta).select("event_id", "p.x", "p.y", item["a"].alias("a"), item["b"].alias("b"), schemas.RESCUED)
+
+
 @query
 def copy_into(spark, sf_dir):
     """Two deliveries loaded by three batch runs; each file counts once."""
     work = scratch_dir(spark, "copy")
     src, root = f"{work}/landing", f"{work}/table"
     readings = model.production(spark, sf_dir)
-    early = F.col("production_datetime") < _ntz(MID_READINGS)
+    early = _before("production_datetime", MID_READINGS)
     readings.filter(early).write.parquet(src)
     ingest.copy_into(spark, src, root)
     readings.filter(~early).write.mode("append").parquet(src)
@@ -167,24 +216,27 @@ def stream_table(spark, sf_dir):
     return spark.read.parquet(f"{work}/silver")
 
 
+NEW_SINCE = dt.date(1998, 1, 1)
+
+
+def _new_period():
+    """Events of the newer period; one without a day belongs to the older one."""
+    return F.coalesce(F.col("last_maintenance_date") >= F.lit(NEW_SINCE), F.lit(False))
+
+
 def _deliver_events(spark, sf_dir, src, periods):
     events = model.equipment_events(spark, sf_dir)
-    for since, until in periods:
-        day = F.col("last_maintenance_date")
-        events.filter((day >= F.lit(since)) & (day < F.lit(until))).write.mode("append").parquet(src)
+    for period in periods:
+        events.filter(period).write.mode("append").parquet(src)
         yield tables.table_stream(spark, src, events.schema)
 
 
-OLD = (dt.date(1990, 1, 1), dt.date(1998, 1, 1))
-NEW = (dt.date(1998, 1, 1), dt.date(2010, 1, 1))
-
-
 @query
 def stream_upsert(spark, sf_dir):
     """Two deliveries of events, in order, upserted to one row per unit."""
     work = scratch_dir(spark, "upsert")
     newest = [F.desc("last_maintenance_date"), F.desc("event_id")]
-    for rows in _deliver_events(spark, sf_dir, f"{work}/landing", [OLD, NEW]):
+    for rows in _deliver_events(spark, sf_dir, f"{work}/landing", [~_new_period(), _new_period()]):
         tables.stream_upsert(
             rows, f"{work}/table", EQUIPMENT_KEYS, newest, f"{work}/checkpoint",
             versions.part_by_key(EQUIPMENT_KEYS, 8),
@@ -196,7 +248,7 @@ def stream_upsert(spark, sf_dir):
 def stream_scd2(spark, sf_dir):
     """Two deliveries of events, the later period first, into one history."""
     work = scratch_dir(spark, "scd2")
-    for rows in _deliver_events(spark, sf_dir, f"{work}/landing", [NEW, OLD]):
+    for rows in _deliver_events(spark, sf_dir, f"{work}/landing", [_new_period(), ~_new_period()]):
         tables.stream_scd2(
             rows, f"{work}/table", EQUIPMENT_KEYS, "last_maintenance_date", [F.desc("event_id")],
             f"{work}/checkpoint", versions.part_by_key(EQUIPMENT_KEYS, 8),
@@ -209,8 +261,8 @@ def _layers(spark, sf_dir):
     base = scratch_dir(spark, "layers")
     landing = {name: f"{base}/landing/{name}" for name in medallion.KEYS}
     readings, events = model.production(spark, sf_dir), model.equipment_events(spark, sf_dir)
-    early = F.col("production_datetime") < _ntz(MID_READINGS)
-    first = F.col("last_maintenance_date") >= F.lit(NEW[0])
+    early = _before("production_datetime", MID_READINGS)
+    first = _new_period()
     model.sites(spark, sf_dir).write.parquet(landing[medallion.SITES])
     for rows, history in ((early, first), (~early, ~first)):
         readings.filter(rows).write.mode("append").parquet(landing[medallion.PRODUCTION])
@@ -243,7 +295,7 @@ def load_full(spark, sf_dir):
     """Refreshed twice; the table holds the second result only."""
     root = f"{scratch_dir(spark, 'full')}/table"
     readings = model.production(spark, sf_dir)
-    early = readings.filter(F.col("production_datetime") < _ntz(MID_READINGS))
+    early = readings.filter(_before("production_datetime", MID_READINGS))
     loads.load_full(early, root, marts.site_day_rollup)
     loads.load_full(readings, root, marts.site_day_rollup)
     return versions.read(spark, root).drop("_refreshed_at")
@@ -254,7 +306,7 @@ def load_incremental(spark, sf_dir):
     """Three runs: the first cut lies inside a day, the third run finds nothing."""
     root = f"{scratch_dir(spark, 'incremental')}/table"
     readings = model.production(spark, sf_dir)
-    early = readings.filter(F.col("production_datetime") < _ntz(MID_READINGS))
+    early = readings.filter(_before("production_datetime", MID_READINGS))
     for source in (early, readings, readings):
         loads.load_incremental(source, root, "production_datetime", date_col="production_date")
     return marts.merge_site_days(versions.read(spark, root))
@@ -265,8 +317,8 @@ def load_changed_parts(spark, sf_dir):
     """A daily summary cut by year, refreshed after later years were delivered."""
     work = scratch_dir(spark, "refresh")
     readings = model.production(spark, sf_dir)
-    early = F.col("production_datetime") < _ntz(MID_READINGS)
-    later_years = F.col("production_datetime") >= _ntz(dt.datetime(1999, 1, 1))
+    early = _before("production_datetime", MID_READINGS)
+    later_years = ~_before("production_datetime", dt.datetime(1999, 1, 1))
     for version, rows in enumerate((readings.filter(early), readings.filter(later_years))):
         versions.publish(rows, f"{work}/source", version, "delivery", _by_year())
         loads.load_changed_parts(

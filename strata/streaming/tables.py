@@ -13,15 +13,17 @@ from strata.operators.scd2 import END, START, scd2_apply
 from strata.operators.windows import latest_per_key
 from strata.sources import versions
 from strata.sources.files import if_present
-from strata.streaming.ingest import ANY_AGE, AVAILABLE_NOW, run
+from strata.sources.schemas import quoted
+from strata.streaming.ingest import ANY_AGE, AVAILABLE_NOW, BATCH, run
 
 BUCKETS = 64
 
 
 def table_stream(spark: SparkSession, src: str, schema: StructType | None = None, **options) -> DataFrame:
-    """New rows of a parquet table."""
+    """New rows of a parquet table; an ingested table's batch directories are no column of it."""
     schema = schema or spark.read.parquet(src).schema
-    return spark.readStream.schema(schema).options(**{**ANY_AGE, **options}).parquet(src)
+    rows = spark.readStream.schema(schema).options(**{**ANY_AGE, **options}).parquet(src)
+    return rows.select(*(quoted(c) for c in schema.names if c != BATCH))
 
 
 def stream_table(
