@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import slices
 
+SLICE_BYTES = 1 << 18  # a text's trigrams take some hundred times its bytes while it is fitted
 BUCKETS = 1 << 15
 ORDER = 3
 STEPS = 12
@@ -74,7 +75,7 @@ def learn(docs: DataFrame) -> Model:
             held.clear()
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 text, bucket, n = features(part.column("text"))
                 names, of = np.unique(np.array(part.column("lang").to_pylist(), dtype=object), return_inverse=True)
                 for i, lang in enumerate(names.tolist()):
@@ -171,7 +172,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 names, scores = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
                 letters = part.column("letters").to_numpy(zero_copy_only=False)
                 if model.languages and letters.any():
@@ -192,12 +193,13 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 scores = np.zeros(part.num_rows)
                 if model.languages:
                     mixture = Mixture(model, *features(part.column("text")))
                     scores[mixture.texts] = select(mixture, model).max(axis=1)
                 letters = pc.fill_null(pc.match_substring_regex(part.column("text"), r"\p{L}"), False)
                 yield part.filter(pc.and_(letters, pa.array(scores >= least)))
+            pa.default_memory_pool().release_unused()  # the worker is used again by later stages
 
     return docs.mapInArrow(sift, docs.schema)
