@@ -14,6 +14,7 @@ from strata.llm.components import components
 
 SHINGLE = 3
 BUDGET = 3
+QUARTERS = BUDGET + 1
 SEED = 42
 BITS = 64
 STEP = 1 << 16
@@ -72,38 +73,40 @@ def quarters(mask: int, parts: int) -> list[int]:
     return [sum(1 << b for b in free[a:z]) for a, z in zip(bounds[:-1], bounds[1:], strict=True) if a < z]
 
 
-def signed(mask: int) -> int:
-    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
+def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(fp, mask, held): each fingerprint once for every quarter of the bits outside its ``mask``."""
+    for batch in batches:
+        fp, mask = (batch.column(c).to_numpy() for c in ("fp", "mask"))
+        out = []
+        for known in np.unique(mask).tolist():
+            own = fp[mask == known]
+            for quarter in quarters(known & (1 << BITS) - 1, QUARTERS):
+                wider = np.full(len(own), quarter, dtype=np.uint64).view(np.int64) | known
+                out.append(np.stack([own, wider, own & wider]))
+        columns = np.concatenate([np.empty((3, 0), np.int64), *out], axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["fp", "mask", "held"])
 
 
-def subtrees(distinct: DataFrame, budget: int, group_rows: int) -> DataFrame:
+def subtrees(distinct: DataFrame, group_rows: int) -> DataFrame:
     """(fp, mask, held): the subtrees in which fingerprints meet, ``held`` being their bits in ``mask``.
 
     With one trie per quarter of the bits, which has the quarter's bits on its upper levels,
-    a pair within the budget agrees in one whole quarter (there is one more than errors), so
-    the upper levels need only pairs of equal nodes, and each of those is a group of rows. A
-    group of over ``group_rows`` is cut again in the same way by its other bits, however large
-    it is: fingerprints are distinct, so the cuts end with the bits.
+    a pair within the budget of three errors agrees in one whole quarter, so the upper levels
+    need only pairs of equal nodes, and each of those is a group of rows. A group of over
+    ``group_rows`` is cut again in the same way by its other bits, however large it is:
+    fingerprints are distinct, so the cuts end with the bits.
     """
-    group_rows = max(group_rows, 1 << (budget + 1))  # what is cut has more free bits than errors
-    done, rest, masks = [], distinct.select("fp", F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("held")), [0]
-    while masks:
-        cut = {m: [m | q for q in quarters(m, budget + 1)] for m in masks}
-        choices = F.create_map(*(c for m in masks for c in (F.lit(signed(m)), F.array(*(F.lit(signed(x)) for x in cut[m])))))
-        dealt = rest.select("fp", F.explode(choices[F.col("mask")]).alias("mask"))
-        dealt = store(dealt.withColumn("held", F.col("fp").bitwiseAND(F.col("mask"))), "simhash")
+    group_rows = max(group_rows, 1 << QUARTERS)  # what is cut has more free bits than errors
+    rest, out = distinct.select("fp", F.lit(0).cast("long").alias("mask")), None
+    while True:
+        dealt = store(rest.mapInArrow(deal, "fp long, mask long, held long"), "simhash")
         sizes = dealt.groupBy("mask", "held").agg(F.count(F.lit(1)).alias("members"))
         large = store(sizes.filter(F.col("members") > group_rows).select("mask", "held"), "simhash")
-        masks = sorted(r["mask"] & (1 << BITS) - 1 for r in large.select("mask").distinct().collect())  # 4, 16, ...: not rows
-        if not masks:
-            done.append(dealt)
-            break
-        done.append(dealt.join(large, ["mask", "held"], "left_anti").select("fp", "mask", "held"))
-        rest = dealt.join(large, ["mask", "held"], "left_semi").select("fp", "mask", "held")
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionAll(more)
-    return out
+        if large.isEmpty():
+            return dealt if out is None else out.unionAll(dealt)
+        small = dealt.join(large, ["mask", "held"], "left_anti").select("fp", "mask", "held")
+        out = small if out is None else out.unionAll(small)
+        rest = dealt.join(large, ["mask", "held"], "left_semi").select("fp", "mask")
 
 
 def near_pairs(fp: np.ndarray, first: np.ndarray, last: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -170,7 +173,7 @@ def forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
     return roots(np.arange(n))
 
 
-def links(groups: DataFrame, budget: int) -> DataFrame:
+def links(groups: DataFrame) -> DataFrame:
     """(u, v): a forest over the linked fingerprints of every subtree (fp, mask, held).
 
     Rows arrive sorted, and whole groups are walked together, some GROUP_ROWS rows at a time.
@@ -182,7 +185,7 @@ def links(groups: DataFrame, budget: int) -> DataFrame:
         last = np.append(edge[1:], len(fp))
         some = last - edge > 1
         values = fp.view(np.uint64)
-        part = forest(len(fp), near_pairs(values, edge[some], last[some], budget))
+        part = forest(len(fp), near_pairs(values, edge[some], last[some], BUDGET))
         linked = np.flatnonzero(part != np.arange(len(fp)))
         return pa.RecordBatch.from_arrays([pa.array(fp[linked]), pa.array(fp[part[linked]])], names=["u", "v"])
 
@@ -203,8 +206,8 @@ def links(groups: DataFrame, budget: int) -> DataFrame:
     return groups.repartition("mask", "held").sortWithinPartitions(*order).mapInArrow(run, "u long, v long")
 
 
-def near(docs: DataFrame, length: int = SHINGLE, budget: int = BUDGET, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(doc_id, fingerprint, component_id), one row per row: documents linked at ``budget`` or fewer differing bits.
+def near(docs: DataFrame, length: int = SHINGLE, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(doc_id, fingerprint, component_id), one row per row: documents linked at BUDGET or fewer differing bits.
 
     The fingerprint is 16 hex digits. A null or empty text and one without words have the
     fingerprint zero, which is linked like any other. ``component_id`` is the smallest
@@ -214,7 +217,7 @@ def near(docs: DataFrame, length: int = SHINGLE, budget: int = BUDGET, group_row
     """
     found = store(fingerprints(docs, length), "simhash")
     classes = store(found.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash")
-    parts = components(store(links(subtrees(classes, budget, group_rows), budget), "simhash"))
+    parts = components(store(links(subtrees(classes, group_rows)), "simhash"))
     grouped = classes.join(parts, classes["fp"] == parts["node"], "left").select("fp", F.coalesce("component", "fp").alias("part"), "first_id")
     ids = grouped.groupBy("part").agg(F.min("first_id").alias("component_id"))
     of_class = grouped.join(ids, "part").select("fp", "component_id")

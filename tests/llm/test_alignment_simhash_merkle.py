@@ -179,8 +179,8 @@ def test_trie_meets_every_pair_once_and_crowded_subtrees_are_cut(spark):
     assert len(got) == len(want) and {(min(p), max(p)) for p in got} == want
     rows = spark.createDataFrame([(int(v.astype(np.int64)),) for v in values], "fp long")
     parts = {c for _, _, c in brute_components([(i, int(v)) for i, v in enumerate(values)])}
-    for group_rows in (simhash.GROUP_ROWS, 16):
-        edges = simhash.links(simhash.subtrees(rows, 3, group_rows), 3).collect()
+    for group_rows in (simhash.GROUP_ROWS, 150):
+        edges = simhash.links(simhash.subtrees(rows, group_rows)).collect()
         place = {int(v.astype(np.int64)): i for i, v in enumerate(values)}
         part = list(range(len(values)))
         for u, v in edges:
@@ -244,3 +244,22 @@ def test_equal_rows_are_spread_over_tasks(spark):
     numbered = merkle.numbered(merkle.leaves(same), "doc_id", "digest", "row")
     assert sorted(r["idx"] for r in numbered.collect()) == list(range(500))
     assert numbered.select(F.min("n")).first()[0] == 500
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_components_of_hubs_chains_and_cliques(spark, monkeypatch, salts):
+    from strata.llm import components
+
+    monkeypatch.setattr(components, "HUB_DEGREE", 5)
+    monkeypatch.setattr(components, "SALTS", salts)
+    draw = random.Random(2)
+    edges = [(1000, i) for i in range(60)] + [(i, i + 1) for i in range(2000, 2020)] + [(a, b) for a in range(3000, 3012) for b in range(3000, a)]
+    edges += [(draw.randrange(4000, 4200), draw.randrange(4000, 4200)) for _ in range(120)] + [(7, 7), (1000, 3), (3, 1000)]
+    part = {n: n for e in edges if e[0] != e[1] for n in e}
+    for u, v in edges * 2:
+        if u != v and part[u] != part[v]:
+            low, high = sorted((part[u], part[v]))
+            part = {n: low if p == high else p for n, p in part.items()}
+    rows = spark.createDataFrame(edges, "u long, v long")
+    assert dict(map(tuple, components.components(rows).collect())) == part
+    assert components.components(rows.limit(0)).count() == 0
