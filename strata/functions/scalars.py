@@ -7,11 +7,12 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Status bands of a health score, and the scales of exact sums.
+# Status bands of a health score.
 ATTENTION_BELOW = 70
 MONITOR_BELOW = 80
-CENTS = 100.0
-MILLIONTHS = 1e6
+# The parts of an exact sum, from whole numbers down, each in units of the last by LIMB.
+LIMBS = ("whole", "fine", "finer", "finest")
+LIMB = float(2**31)
 
 
 def safe_ratio(top: Column, bottom: Column) -> Column:
@@ -19,34 +20,61 @@ def safe_ratio(top: Column, bottom: Column) -> Column:
     return top / F.nullif(bottom, F.lit(0))
 
 
-def whole(value: Column | str, scale: float) -> Column:
-    """The value as a whole number of ``1 / scale`` units, rounded.
+def limbs(value: Column | str) -> list[Column]:
+    """A double as whole numbers of 1, 2**-31, 2**-62 and 2**-93, without any rounding.
 
-    Sums of whole numbers are the same for every partitioning, where sums of
-    doubles change in their last digits with task order, and cost less than sums
-    of decimals cast from doubles.
+    Each step takes the whole part and scales the rest by a power of two, which is exact. A
+    value that needs finer units (full precision below 1e-12), or is no finite number
+    below 2**63, is an error and not a wrong total.
     """
-    return F.floor(_col(value) * F.lit(scale) + F.lit(0.5))
+    rest, parts = _col(value).cast("double"), []
+    for scale in (1.0, LIMB, LIMB, LIMB):
+        rest = rest * F.lit(scale)
+        parts.append(rest.cast("bigint"))  # towards zero; out of range is an error
+        rest = rest - parts[-1]
+    too_fine = F.raise_error(F.lit("a value has more digits than an exact sum holds")).cast("bigint")
+    return [*parts[:-1], F.when(rest != 0, too_fine).otherwise(parts[-1])]
 
 
-def wide_sum(units: Column | str) -> Column:
-    """Sum of whole numbers over any number of rows; decimal, so it cannot overflow."""
-    return F.sum(_col(units).cast("decimal(20,0)"))
+def exact_sum(value: Column | str, weight: Column | None = None, wide: bool = False) -> Column:
+    """Aggregate: the sum of doubles as limbs, equal for every order, partitioning and retry.
 
+    64 bits hold the limbs of 4e9 rows and more are an error; ``wide`` sums decimals
+    instead, for any number of rows. ``weight`` counts a value that often.
+    """
+    parts = [p if weight is None else p * weight for p in limbs(value)]
+    return F.struct(*(F.sum(p.cast("decimal(20,0)") if wide else p).alias(n) for p, n in zip(parts, LIMBS, strict=True)))
 
-def from_units(total: Column | str, scale: float) -> Column:
-    """A sum of ``whole`` values in its own unit again."""
-    return _col(total).cast("double") / F.lit(scale)
 
+def add_sums(sums: Column | str) -> Column:
+    """Aggregate: the total of ``carried`` sums."""
+    return F.struct(*(F.sum(_col(sums).getField(n)).alias(n) for n in LIMBS))
 
-def money_sum(amount: Column | str) -> Column:
-    """Exact total of a money column over any number of rows."""
-    return from_units(wide_sum(whole(amount, CENTS)), CENTS)
+
+def carried(sums: Column | str) -> Column:
+    """The same sum with all limbs but the first below 2**31, so that as many sums can be added again."""
+    carry, parts = F.lit(0).cast("bigint"), []
+    for name in reversed(LIMBS[1:]):
+        total = _col(sums).getField(name) + carry
+        parts.append((total % F.lit(2**31)).cast("bigint"))
+        carry = F.call_function("div", total, F.lit(2**31).cast("bigint"))
+    parts.append((_col(sums).getField(LIMBS[0]) + carry).cast("bigint"))
+    return F.struct(*(p.alias(n) for p, n in zip(reversed(parts), LIMBS, strict=True)))
 
 
-def exact_avg(total: Column | str, count: Column | str) -> Column:
-    """Average from a sum of millionths; NULL for an empty group."""
-    return safe_ratio(from_units(total, MILLIONTHS), _col(count))
+def sum_value(sums: Column | str) -> Column:
+    """A sum of limbs as a double; NULL where there was nothing to sum."""
+    held = carried(sums)
+    top, low = held.getField(LIMBS[0]), held.getField(LIMBS[1]) * F.lit(2**31) + held.getField(LIMBS[2])
+    # both parts with one sign: else the small digits of a difference would be lost
+    step = F.when((top > 0) & (low < 0), -1).when((top < 0) & (low > 0), 1).otherwise(0)
+    rest = (low - step * F.lit(2**62)).cast("double") + held.getField(LIMBS[3]).cast("double") / F.lit(LIMB)
+    return (top + step).cast("double") + rest / F.lit(LIMB * LIMB)
+
+
+def money_sum(amount: Column | str) -> Column:
+    """Exact total of a column of doubles over any number of rows."""
+    return sum_value(exact_sum(amount, wide=True))
 
 
 def health_band(score: Column | str) -> Column:
@@ -106,7 +134,9 @@ def json_size(document: Column | str, path: str) -> Column:
 
 def stable_id(*parts: Column | str) -> Column:
     """Repeatable identifier of the given parts (a retried task writes the same one)."""
-    return F.sha2(F.concat_ws("|", *[_col(p).cast("string") for p in parts]), 256)
+    texts = [_col(p).cast("string") for p in parts]
+    # with its length before it, no part can run into the next, and NULL is no text
+    return F.sha2(F.concat(*(F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts)), 256)
 
 
 def unit_hash(*keys: Column | str) -> Column:

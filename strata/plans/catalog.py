@@ -365,13 +365,12 @@ def lookup_join(spark, sf_dir):
     """Readings priced from a lookup of the parts, counted per part before the join."""
     parts = model.table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
     counts = model.table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
-    cents = F.col("n") * fx.whole("p_retailprice", fx.CENTS)
     return (
         counts.join(broadcast_if_small(parts), F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("p_brand")
         .agg(
             F.sum("n").alias("readings"),
-            fx.from_units(fx.wide_sum(cents), fx.CENTS).alias("list_price"),
+            fx.sum_value(fx.exact_sum("p_retailprice", F.col("n"), wide=True)).alias("list_price"),
         )
     )
 

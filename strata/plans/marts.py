@@ -5,8 +5,8 @@ gold run computes once and stores, so that one pass over the readings serves all
 
 Aggregating to site and day before the joins keeps the only large shuffle at one
 row per (site, day) and map task, whatever share of the readings one site holds.
-Grade and cost are summed as millionths and cents: 64 bits hold 9e16 USD per site
-and day, and totals over more rows use decimals. Sites arrive marked for broadcast
+Grade and cost are summed exactly, as limbs of whole numbers (``exact_sum``), so a mart is
+the same for every partitioning and a total of parts is the total of the whole. Sites arrive marked for broadcast
 only after a check of their number (``broadcast_if_small``); a larger dimension is
 shuffled like any table.
 """
@@ -18,17 +18,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.scalars import (
-    CENTS,
-    MILLIONTHS,
-    exact_avg,
-    from_units,
-    money_sum,
-    safe_ratio,
-    whole,
-    wide_sum,
-    within_days,
-)
+from strata.functions.scalars import add_sums, carried, exact_sum, money_sum, safe_ratio, sum_value, within_days
 from strata.operators.joins import is_small
 from strata.operators.windows import bounded_rank, global_rank
 
@@ -39,9 +29,9 @@ def site_day_measures(production: DataFrame, *extra: Column) -> DataFrame:
     """Additive measures per site and day; sums of these rows are sums of their readings."""
     return production.groupBy("site_id", "production_date").agg(
         F.sum("tons_extracted").alias("tons"),
-        F.sum(whole("mineral_grade_percent", MILLIONTHS)).alias("grade_sum"),
+        carried(exact_sum("mineral_grade_percent")).alias("grade_sum"),
         F.count("mineral_grade_percent").alias("grade_count"),
-        F.sum(whole("total_cost_usd", CENTS)).alias("cost_cents"),
+        carried(exact_sum("total_cost_usd")).alias("cost_sum"),
         F.sum("operating_hours").alias("hours"),
         F.count(F.lit(1)).alias("readings"),
         *extra,
@@ -50,10 +40,11 @@ def site_day_measures(production: DataFrame, *extra: Column) -> DataFrame:
 
 def _measures(production: DataFrame) -> DataFrame:
     """Site-day measures of readings; measures of one or more loads are added up per site and day."""
-    if "cost_cents" not in production.columns:
+    if "cost_sum" not in production.columns:
         return site_day_measures(production)
-    added = ("tons", "grade_sum", "grade_count", "cost_cents", "hours", "readings")
-    return production.groupBy("site_id", "production_date").agg(*(F.sum(c).alias(c) for c in added))
+    exact = [carried(add_sums(c)).alias(c) for c in ("grade_sum", "cost_sum")]
+    added = [F.sum(c).alias(c) for c in ("tons", "grade_count", "hours", "readings")]
+    return production.groupBy("site_id", "production_date").agg(*added, *exact)
 
 
 def merge_site_days(measures: DataFrame) -> DataFrame:
@@ -67,19 +58,19 @@ def merge_site_days(measures: DataFrame) -> DataFrame:
 
 
 def _grade() -> Column:
-    return exact_avg("grade_sum", "grade_count")
+    return safe_ratio(sum_value("grade_sum"), F.col("grade_count"))
 
 
 def _cost() -> Column:
-    return from_units("cost_cents", CENTS)
+    return sum_value("cost_sum")
 
 
 def _grade_over_rows() -> Column:
-    return exact_avg(wide_sum("grade_sum"), F.sum("grade_count"))
+    return safe_ratio(sum_value(add_sums("grade_sum")), F.sum("grade_count"))
 
 
 def _cost_over_rows() -> Column:
-    return from_units(wide_sum("cost_cents"), CENTS)
+    return sum_value(add_sums("cost_sum"))
 
 
 def site_day_rollup(production: DataFrame) -> DataFrame:

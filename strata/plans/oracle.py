@@ -2,6 +2,15 @@
 
 from __future__ import annotations
 
+UNITS = "CAST(4611686018427387904 AS DOUBLE)"
+
+
+def exact(value: str) -> str:
+    """Sum of raw doubles in units of 2**-62, which whole 128-bit numbers add without rounding."""
+    total = f"sum(CAST({value} * {UNITS} AS HUGEINT))"
+    return f"(CAST({total} // 4611686018427387904 AS DOUBLE) + CAST(CAST({total} % 4611686018427387904 AS BIGINT) AS DOUBLE) / {UNITS})"
+
+
 # Named fragments and what each of them needs.
 PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "sites": (
@@ -61,10 +70,9 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "daily": (
         ("production",),
-        """SELECT site_id, production_date, CAST(sum(tons_extracted) AS BIGINT) AS total_tons,
-             CAST(sum(CAST(mineral_grade_percent AS DECIMAL(18,6))) AS DOUBLE)
-               / count(mineral_grade_percent) AS avg_grade,
-             CAST(sum(CAST(total_cost_usd AS DECIMAL(18,2))) AS DOUBLE) AS total_cost,
+        f"""SELECT site_id, production_date, CAST(sum(tons_extracted) AS BIGINT) AS total_tons,
+             {exact("mineral_grade_percent")} / count(mineral_grade_percent) AS avg_grade,
+             {exact("total_cost_usd")} AS total_cost,
              count(*) AS record_count
            FROM production GROUP BY site_id, production_date""",
     ),
@@ -142,7 +150,7 @@ PARTS["words"] = (
 )
 PARTS["chunks"] = (
     ("words",),
-    """SELECT sha256(path || '|' || position) AS chunk_id, path, CAST(position AS INTEGER) AS position,
+    """SELECT sha256(length(path::VARCHAR) || ':' || path || length(position::VARCHAR) || ':' || position) AS chunk_id, path, CAST(position AS INTEGER) AS position,
          array_to_string(w[position * 400 + 1 : position * 400 + 500], ' ') AS content
        FROM (SELECT path, w, unnest(range(0, CAST(ceil(greatest(len(w) - 500, 0) / 400.0) AS BIGINT) + 1))
                AS position FROM words WHERE len(w) > 0)""",
@@ -172,8 +180,8 @@ def plain(name: str) -> str:
 LAST_30 = "production_date BETWEEN DATE '2001-06-15' - 30 AND DATE '2001-06-15'"
 LAST_90 = "production_date BETWEEN DATE '2001-06-15' - 90 AND DATE '2001-06-15'"
 LAST_MONTH = "production_date >= DATE '2001-05-01' AND production_date < DATE '2001-06-01'"
-GRADE = "CAST(sum(CAST(mineral_grade_percent AS DECIMAL(18,6))) AS DOUBLE) / count(mineral_grade_percent)"
-COST = "CAST(sum(CAST(total_cost_usd AS DECIMAL(18,2))) AS DOUBLE)"
+GRADE = f"{exact('mineral_grade_percent')} / count(mineral_grade_percent)"
+COST = exact("total_cost_usd")
 TONS = "CAST(sum(tons_extracted) AS BIGINT)"
 DUE = "next_maintenance_date <= DATE '2001-06-15'"
 FLEET_TAIL = f"""CAST(count(e.equipment_id) AS BIGINT) AS total_equipment,
@@ -209,7 +217,7 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (e.status = 'Needs Attention') AS needs_attention_count,
         count(*) FILTER (e.status = 'Monitor') AS monitor_count,
         CAST(sum(health_score) AS DOUBLE) / count(health_score) AS avg_health_score,
-        CAST(sum(CAST(annual_maintenance_cost_usd AS DECIMAL(18,2))) AS DOUBLE)
+        {exact("annual_maintenance_cost_usd")}
           AS total_annual_maintenance_cost_usd,
         count(*) FILTER ({DUE}) AS maintenance_overdue_count
       FROM fleet e JOIN sites s ON e.site_id = s.site_id GROUP BY 1, 2, 3"""),
@@ -284,12 +292,12 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'healthy', count(*) FILTER (NOT health_score >= 70), count(*) FROM equipment"""),
     "duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS cnt FROM lineitem
       GROUP BY 1, 2 HAVING count(*) > 1""",
-    "reconcile_totals": build("daily", "production", body="""
+    "reconcile_totals": build("daily", "production", body=f"""
       SELECT measure, gold_value, source_value, gold_value - source_value AS difference FROM (
         SELECT 'tons' AS measure, CAST((SELECT sum(total_tons) FROM daily) AS DOUBLE) AS gold_value,
           CAST((SELECT sum(tons_extracted) FROM production) AS DOUBLE) AS source_value
-        UNION ALL SELECT 'cost', CAST((SELECT sum(CAST(total_cost AS DECIMAL(18,2))) FROM daily) AS DOUBLE),
-          CAST((SELECT sum(CAST(total_cost_usd AS DECIMAL(18,2))) FROM production) AS DOUBLE)
+        UNION ALL SELECT 'cost', (SELECT {exact("total_cost")} FROM daily),
+          (SELECT {exact("total_cost_usd")} FROM production)
         UNION ALL SELECT 'rows', CAST((SELECT sum(record_count) FROM daily) AS DOUBLE),
           CAST((SELECT count(*) FROM production) AS DOUBLE))"""),
     "ghost_rows": build("book0", "book1", body="""SELECT * FROM book0 g
@@ -302,8 +310,8 @@ ORACLE: dict[str, str] = {
         SELECT CAST(unnest(generate_series(CAST(min(production_date) AS TIMESTAMP),
           CAST(max(production_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM production)
       WHERE NOT EXISTS (SELECT 1 FROM production p WHERE p.site_id = s_suppkey AND p.production_date = d)"""),
-    "lookup_join": """SELECT p_brand, count(*) AS readings,
-        CAST(sum(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) AS list_price
+    "lookup_join": f"""SELECT p_brand, count(*) AS readings,
+        {exact("p_retailprice")} AS list_price
       FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""",
     "semi_keys": build("book0", "feed1", body="""SELECT * FROM book0 WHERE order_id IN
       (SELECT order_id FROM feed1 WHERE _change_type = 'delete')"""),
