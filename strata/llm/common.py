@@ -21,11 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def store(df: DataFrame, purpose: str) -> DataFrame:
-    """Write below ``spark.checkpoint.dir`` and read again: cuts the lineage for good."""
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def store(df: DataFrame, purpose: str, release: bool = False) -> DataFrame:
+    """Write below ``spark.checkpoint.dir`` and read again: cuts the lineage for good.
+
+    ``release`` lets Spark remove the shuffle files of this write as soon as it has ended.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(RELEASE, "false")
+    if release:
+        spark.conf.set(RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if release:
+            spark.conf.set(RELEASE, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import mix, slices, store, words
@@ -20,28 +20,16 @@ DEPTH = 3
 LEAST_COUNT = 10
 LEAST_GAIN = 0.01
 GROUP_ROWS = 8192
+GROUP_BYTES = 1 << 24
 SIEVE_BITS = 1 << 28
+HOT_SHARE = 1024
+SALTS = 64
 END = np.uint64(0x9D2C5680A7C3E1B5)
 
 
-class Tree(NamedTuple):
-    """The retained contexts of a small corpus on the driver. Number 0 is the root.
-
-    ``ids[d]`` are the keys of the contexts of d + 1 words and ``numbers[d]`` the same;
-    ``parent`` is the longest retained shorter suffix, ``backoff`` the chance that a
-    context leaves the next symbol to its parent.
-    """
-
-    ids: list[np.ndarray]
-    numbers: list[np.ndarray]
-    parent: dict[int, int]
-    backoff: dict[int, float]
-
-
 class Learned(NamedTuple):
-    """All in DataFrames: (key, p) of root and retained contexts, and a (ctx, suffix, kept, backoff) per depth."""
+    """Per depth a DataFrame (ctx, suffix, total, followers, kept) of the tested contexts; the tokens and distinct tokens in all."""
 
-    table: DataFrame
     levels: list[DataFrame]
     total: int
     distinct_tokens: int
@@ -110,9 +98,17 @@ def count_first(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("c"))
 
 
-def count_next(docs: DataFrame, depth: int, candidates: DataFrame) -> DataFrame:
-    """(key, ctx, up, c): what follows each candidate context of ``depth`` words; up is the key one word shorter."""
+def count_next(docs: DataFrame, depth: int, candidates: DataFrame, total: int) -> DataFrame:
+    """What follows the candidate contexts (ctx, suffix, total) of ``depth`` words, in two kinds of rows.
+
+    Followers seen at least twice: ctx, key, up (the key one word shorter) and c. Sums of a
+    context, without key, one or more rows each: c (all its occurrences), followers and
+    singles (followers seen once). A context with more than a thousandth of all tokens is
+    dealt over SALTS tasks by its followers.
+    """
     bits = sieve(candidates)
+    often = candidates.filter(F.col("total") > total // HOT_SHARE).select("ctx").collect()  # at most HOT_SHARE rows
+    salt = F.when(F.col("ctx").isin([r["ctx"] for r in often]), F.pmod("token", F.lit(SALTS))).otherwise(0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,98 +117,162 @@ def count_next(docs: DataFrame, depth: int, candidates: DataFrame) -> DataFrame:
                 text = read(part)
                 *_, suffix, ctx = np.zeros(len(text.token), np.uint64), *contexts(text, depth)
                 at = np.flatnonzero((text.place >= depth) & holds(bits, ctx))
-                token = text.token[at]
-                found.append(np.stack([key_of(ctx[at], token), ctx[at], key_of(suffix[at], token)]))
+                found.append(np.stack([ctx[at], suffix[at], text.token[at]]))
             found = np.concatenate(found, axis=1)
-            _, at, n = np.unique(found[0], return_index=True, return_counts=True)
+            _, at, n = np.unique(key_of(found[0], found[2]), return_index=True, return_counts=True)
             columns = [pa.array(c.view(np.int64)) for c in np.ascontiguousarray(found[:, at])]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n)], names=["key", "ctx", "up", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "key long, ctx long, up long, n long")
-    return rows.groupBy("key", "ctx", "up").agg(F.sum("n").alias("c"))
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int32))], names=["ctx", "suffix", "token", "n"])
+
+    def sums(rows: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+        c, (ctx, suffix, token) = np.add.reduceat(rows[3], first), rows[:3, first]
+        begin = np.flatnonzero(np.diff(ctx, prepend=~ctx[:1]))
+        often = c >= 2
+        key, up = (key_of(x[often], token[often].view(np.uint64)).view(np.int64) for x in (ctx, suffix))
+        none = np.zeros(len(key), dtype=np.int64)
+        columns = [
+            np.concatenate([ctx[often], ctx[begin]]), None, None,
+            *(np.concatenate([x, np.add.reduceat(y, begin)]) for x, y in ((c[often], c), (none, np.ones_like(c)), (none, (c == 1).astype(np.int64)))),
+        ]
+        empty = pa.nulls(len(begin), pa.int64())
+        columns[1:3] = (pa.concat_arrays([pa.array(x), empty]) for x in (key, up))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["ctx", "key", "up", "c", "followers", "singles"])
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.empty((4, 0), dtype=np.int64)
+        for batch in batches:
+            held = np.concatenate([held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("ctx", "suffix", "token", "n")])], axis=1)
+            if not held.shape[1]:
+                continue
+            first = np.flatnonzero(np.concatenate(([True], (np.diff(held[0]) != 0) | (np.diff(held[2]) != 0))))
+            if len(first) > 1:  # the last follower may go on in the next batch
+                yield sums(held[:, : first[-1]], first[:-1])
+            held = held[:, first[-1] :].copy()
+            held[3, 0] = held[3].sum()
+            held = held[:, :1]
+        if held.shape[1]:
+            yield sums(held, np.zeros(1, dtype=np.int64))
+
+    rows = docs.select("text").mapInArrow(run, "ctx long, suffix long, token long, n int")
+    dealt = rows.repartition(F.col("ctx"), salt).sortWithinPartitions("ctx", "token")
+    return dealt.mapInArrow(tally, "ctx long, key long, up long, c long, followers long, singles long")
 
 
 def learn(docs: DataFrame, depth: int, least_count: int, least_share: float, least_gain: float) -> Learned:
-    """Learn the tree from all given texts.
+    """Learn the contexts of the tree from all given texts.
 
     Every context seen ``least_count`` times is a candidate (more often if ``least_share``
     of all tokens is more). It is retained if its own counts, each left out in turn,
     predict what follows better than its parent by ``least_gain`` nats per occurrence. Its
     distribution is (c + t * parent) / (n + t), with n occurrences and t distinct
-    followers, so it adds up to one. A context's suffix is seen as often, so it is a
-    candidate too: ``above`` has for it the chances that hold there, its own or its parent's.
+    followers, so it adds up to one.
+
+    A follower seen once gains log(t / (n - 1 + t)), whatever its parent says, so those are
+    only counted; the others are rows. What is seen twice has a suffix seen twice, so
+    ``above`` has the chances that hold one word shorter: the suffix's own or its parent's.
     """
-    counts = store(count_first(docs), "suffix-tree")
+    counts = store(count_first(docs), "suffix-tree", release=True)
     total, distinct_tokens = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    table = counts.select("key", ((F.col("c") + PRIOR) / (total + PRIOR * (distinct_tokens + 1))).alias("p"))
-    above, levels = table, []
     often = F.col("c") >= max(2, least_count, math.ceil(least_share * total))
+    above = counts.select("key", ((F.col("c") + PRIOR) / (total + PRIOR * (distinct_tokens + 1))).alias("p"))
     candidates = counts.filter(often).select(F.col("key").alias("ctx"), F.lit(0).cast("long").alias("suffix"), F.col("c").alias("total"))
+    levels: list[DataFrame] = []
     for d in range(1, depth + 1):
         if candidates.isEmpty():
             break
-        rows = store(count_next(docs, d, candidates).join(candidates.select("ctx"), "ctx", "left_semi"), "suffix-tree")
-        shape = rows.groupBy("ctx").agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("followers"))
-        shape = store(shape, "suffix-tree")
-        tested = rows.join(shape, "ctx").join(above.select(F.col("key").alias("up"), F.col("p").alias("pp")), "up")
+        rows = store(count_next(docs, d, candidates, total), "suffix-tree", release=True)
+        shape = rows.filter("key IS NULL").groupBy("ctx").agg(*(F.sum(c).alias(n) for c, n in (("c", "total"), ("followers", "followers"), ("singles", "singles"))))
+        shape = shape.join(candidates.select("ctx", "suffix"), "ctx")
+        pairs = rows.filter("key IS NOT NULL").select("ctx", "key", "up", "c")
         spread = F.col("followers") * F.col("pp")
         left_out = (F.col("c") - 1 + spread) / (F.col("total") - 1 + F.col("followers"))
-        tested = tested.select(
-            "key", "ctx", "pp", ((F.col("c") + spread) / (F.col("total") + F.col("followers"))).alias("p"),
-            (F.col("c") * F.log(left_out / F.col("pp"))).alias("gain"),
-        )
-        tested = store(tested, "suffix-tree")
-        backoff = F.col("followers") / (F.col("total") + F.col("followers"))
-        level = tested.groupBy("ctx").agg(F.sum("gain").alias("gain")).join(shape, "ctx").join(candidates.select("ctx", "suffix"), "ctx")
-        level = store(level.select("ctx", "suffix", (F.col("gain") > least_gain * F.col("total")).alias("kept"), backoff.alias("backoff")), "suffix-tree")
+        tested = pairs.join(shape.select("ctx", "total", "followers"), "ctx").join(above.select(F.col("key").alias("up"), F.col("p").alias("pp")), "up")
+        gained = tested.groupBy("ctx").agg(F.sum(F.col("c") * F.log(left_out / F.col("pp"))).alias("gain"))
+        of_singles = F.col("singles") * F.log(F.col("followers") / F.greatest(F.lit(1), F.col("total") - 1 + F.col("followers")))
+        gain = F.coalesce("gain", F.lit(0.0)) + of_singles
+        level = shape.join(gained, "ctx", "left").select("ctx", "suffix", "total", "followers", (gain > least_gain * F.col("total")).alias("kept"))
+        level = store(level, "suffix-tree", release=True)
         levels.append(level)
-        table = table.unionByName(tested.join(level.filter("kept").select("ctx"), "ctx", "left_semi").select("key", "p"))
-        candidates = rows.filter(often).select(F.col("key").alias("ctx"), F.col("up").alias("suffix"), F.col("c").alias("total"))
-        above = tested.join(level.select("ctx", "kept"), "ctx").select("key", F.when(F.col("kept"), F.col("p")).otherwise(F.col("pp")).alias("p"))
-    return Learned(table, levels, int(total), int(distinct_tokens))
-
-
-def grow(docs: DataFrame, depth: int, least_share: float, least_gain: float) -> tuple[Tree, DataFrame, int, int]:
-    """The tree of a small corpus on the driver, (key, p), tokens and distinct tokens; ``score`` does not need it."""
-    learned = learn(docs, depth, LEAST_COUNT, least_share, least_gain)
-    ids, parent, backoff, nearest = [], {0: 0}, {0: 1.0}, {0: 0}
-    for level in learned.levels:
-        kept = []
-        for ctx, suffix, own, left in level.collect():
-            nearest[ctx] = ctx if own else nearest[suffix]
-            if own:
-                kept.append(ctx)
-                parent[ctx], backoff[ctx] = nearest[suffix], left
-        ids.append(np.array(kept, dtype=np.int64))
-    return Tree(ids, ids, parent, backoff), learned.table, learned.total, learned.distinct_tokens
+        if d < depth:
+            p = (F.col("c") + spread) / (F.col("total") + F.col("followers"))
+            own = tested.join(level.select("ctx", "kept"), "ctx").select("key", F.when(F.col("kept"), p).otherwise(F.col("pp")).alias("p"))
+            above = store(own, "suffix-tree", release=True)
+            candidates = pairs.filter(often).join(shape.select("ctx"), "ctx", "left_semi")
+            candidates = store(candidates.select(F.col("key").alias("ctx"), F.col("up").alias("suffix"), F.col("c").alias("total")), "suffix-tree", release=True)
+    return Learned(levels, int(total), int(distinct_tokens))
+
+
+def asked_by(rows: pa.Table | pa.RecordBatch, bits: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all tokens after nothing and after the contexts in ``bits``, and how often the training rows hold each."""
+    parts = [(np.empty(0, np.uint64), np.empty(0))]
+    training = rows.column("rest").combine_chunks() if isinstance(rows, pa.Table) else rows.column("rest")
+    weight = np.asarray(training.field("training").fill_null(False), dtype=float) * rows.column("rows").to_numpy()
+    done = 0
+    for batch in rows.to_batches() if isinstance(rows, pa.Table) else [rows]:
+        for part in slices(batch, "text"):
+            text = read(part)
+            own = np.repeat(weight[done : done + part.num_rows], np.diff(text.of))
+            done += part.num_rows
+            keys, times = [key_of(np.zeros(len(text.token)), text.token)], [own]
+            for d, ctx in enumerate(contexts(text, depth), start=1):
+                at = np.flatnonzero((text.place >= d) & holds(bits, ctx))
+                keys.append(key_of(ctx[at], text.token[at]))
+                times.append(own[at])
+            found, at = np.unique(np.concatenate(keys), return_inverse=True)
+            parts.append((found, np.bincount(at, np.concatenate(times), len(found))))
+    found, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return found, np.bincount(at, np.concatenate([n for _, n in parts]), len(found)).astype(np.int64)
 
 
 def needed(grouped: DataFrame, bits: np.ndarray, depth: int) -> DataFrame:
-    """(key, grp): every distinct chance or context that some token of a group may ask for.
+    """(key, grp, n): every distinct key some token of a group asks for, with its count in the group's training rows.
 
-    A context is asked for under the complement of its key, as the key itself is a chance.
+    Contexts are asked for without ``n``.
     """
 
-    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty(0, np.uint64)
-        for batch in batches:
+    def run(group: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grp, rows = group[0].as_py(), pa.Table.from_batches([*batches])
+        rows = once(rows)
+        keys, n = asked_by(rows, bits, depth)
+        asked = [np.empty(0, np.uint64)]
+        for batch in rows.to_batches():
             for part in slices(batch, "text"):
                 text = read(part)
-                found = [np.unique(key_of(np.zeros(len(text.token)), text.token))]
-                for d, ctx in enumerate(contexts(text, depth), start=1):
-                    at = np.flatnonzero((text.place >= d) & holds(bits, ctx))
-                    found += [np.unique(key_of(ctx[at], text.token[at])), np.unique(~ctx[at])]
-                held = np.union1d(held, np.concatenate(found))
-        group = np.full(len(held), key[0].as_py(), dtype=np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(group)], names=["key", "grp"])
+                asked += [np.unique(ctx[(text.place >= d) & holds(bits, ctx)]) for d, ctx in enumerate(contexts(text, depth), start=1)]
+        asked = np.unique(np.concatenate(asked))
+        for values, counts in ((keys, pa.array(n)), (asked, pa.nulls(len(asked), pa.int64()))):
+            columns = [pa.array(values.view(np.int64)), pa.array(np.full(len(values), grp, dtype=np.int32)), counts]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "grp", "n"])
+
+    return grouped.groupBy("grp").applyInArrow(run, "key long, grp int, n long")
+
+
+def once(rows: pa.Table) -> pa.Table:
+    """Equal rows as one, with their number."""
+    first, count = distinct(rows)
+    rows = rows.take(pa.array(first, pa.int64())).combine_chunks()
+    return rows.set_column(rows.column_names.index("rows"), "rows", pa.array(count, pa.int64()))
+
 
-    return grouped.groupBy("grp").applyInArrow(run, "key long, grp int")
+def replies(asked: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(grp, key, a, b): a key's training count in ``a``, where it is not the group's own count alone; a context's occurrences and followers.
+
+    A key has a row per group, so its count is summed in a window of bounded rows. A
+    context is replied under the complement of its key, as the key itself may be asked for.
+    """
+    of_key = Window.partitionBy("key")
+    counted = asked.filter("n IS NOT NULL").withColumn("c", F.sum("n").over(of_key)).filter("c <> n")
+    counted = counted.select("grp", "key", F.col("c").alias("a"), F.lit(None).cast("long").alias("b"))
+    if not levels:
+        return counted
+    kept = functools.reduce(DataFrame.unionAll, [level.filter("kept").select("ctx", "total", "followers") for level in levels])
+    held = asked.filter("n IS NULL").join(kept, F.col("key") == F.col("ctx"))
+    return counted.unionAll(held.select("grp", F.bitwise_not("key"), "total", "followers"))
 
 
 SCORES = "doc_id long, rows long, n_tokens long, n_known long, base_score double, score double"
 
 
-def score(docs: DataFrame, training: Column, depth: int = DEPTH, least_share: float = 0.0, least_gain: float = LEAST_GAIN, group_rows: int = GROUP_ROWS, least_count: int = LEAST_COUNT) -> DataFrame:
+def score(docs: DataFrame, training: Column, depth: int = DEPTH, least_share: float = 0.0, least_gain: float = LEAST_GAIN, group_rows: int = GROUP_ROWS, least_count: int = LEAST_COUNT, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Log10 probability of every whole text under a tree learned from the ``training`` rows.
 
     Returns doc_id, n_tokens, n_known (tokens seen in training), train_tokens, base_score
@@ -221,56 +281,49 @@ def score(docs: DataFrame, training: Column, depth: int = DEPTH, least_share: fl
     no rows, and with nothing to learn from every token has the chance of an unknown one.
     Only ``doc_id`` and ``text`` are read besides ``training``.
 
-    Contexts and next-symbol distributions grow with the corpus and stay distributed; each
-    group of documents asks for its own part of both.
+    Contexts and counts grow with the corpus and stay distributed. Documents are dealt into
+    groups by hash, of about ``group_rows`` rows or ``group_bytes`` of text; a group knows
+    its own training counts, asks for all its keys, and is told what other groups add.
     """
-    groups = max(1, -(-docs.count() // group_rows))
-    table, levels, total, distinct_tokens = learn(docs.filter(training), depth, least_count, least_share, least_gain)
-    unknown = PRIOR / (total + PRIOR * (distinct_tokens + 1)) if total else 1.0
-    grouped = condensed(docs.select("doc_id", "text"), groups)
-    bits = np.zeros(1, np.uint64)
-    if levels:
-        kept = functools.reduce(DataFrame.unionAll, [level.filter("kept").select("ctx", "backoff") for level in levels])
-        bits = sieve(kept)
-        table = table.unionAll(kept.select(F.bitwise_not("ctx"), "backoff"))
-    replies = needed(grouped, bits, depth).join(table, "key").select("grp", "key", "p")
+    rows, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    groups = max(1, -(-rows // group_rows), -(-size // group_bytes))
+    levels, total, distinct_tokens = learn(docs.filter(training), depth, least_count, least_share, least_gain)
+    whole = total + PRIOR * (distinct_tokens + 1)
+    grouped = condensed(docs.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("training")), groups)
+    kept = [level.filter("kept").select("ctx") for level in levels]
+    bits = sieve(functools.reduce(DataFrame.unionAll, kept)) if kept else np.zeros(1, np.uint64)
+    asked = store(needed(grouped, bits, depth), "suffix-tree", release=True)
+    known = store(replies(asked, levels), "suffix-tree", release=True)
 
     def run(rows: pa.Table, known: pa.Table) -> pa.Table:
-        first, count = distinct(rows)
-        rows = rows.take(pa.array(first, pa.int64())).combine_chunks()
-        order = np.argsort(known.column("key").to_numpy().view(np.uint64))
-        keys, chance = known.column("key").to_numpy().view(np.uint64)[order], known.column("p").to_numpy()[order]
+        rows = once(rows)
+        own, n = asked_by(rows, bits, depth)
+        key, a, b = (known.column(c).to_numpy() for c in ("key", "a", "b"))
+        key, is_context = key.view(np.uint64), ~np.isnan(b.astype(float))
+        n[np.searchsorted(own, key[~is_context])] = a[~is_context]
+        order = np.argsort(~key[is_context])
+        ctxs, seen_of, followers_of = (~key[is_context])[order], a[is_context][order], b[is_context][order]
         out: list[np.ndarray] = []
         for batch in rows.to_batches():
             for part in slices(batch, "text"):
                 text = read(part)
-                p, open_mass = np.zeros(len(text.token)), np.ones(len(text.token))
-                pending = np.ones(len(text.token), dtype=bool)
-                for d, ctx in reversed([*enumerate(contexts(text, depth), start=1)]):
-                    at = np.flatnonzero(pending & (text.place >= d) & holds(bits, ctx))
-                    backoff = found_in(keys, chance, ~ctx[at])
-                    at, backoff = at[backoff > 0], backoff[backoff > 0]
-                    own = found_in(keys, chance, key_of(ctx[at], text.token[at]))
-                    p[at] = open_mass[at] * own
-                    pending[at] = own == 0
-                    open_mass[at] *= backoff
-                seen = found_in(keys, chance, key_of(np.zeros(len(text.token)), text.token))
-                single = np.where(seen > 0, seen, unknown)
-                p[pending] = (open_mass * single)[pending]
-                sums = [np.add.reduceat(x, text.of[:-1]) for x in (np.ones(len(p)), (seen > 0).astype(float), np.log10(single), np.log10(p))]
+                count = n[np.searchsorted(own, key_of(np.zeros(len(text.token)), text.token))]
+                single = (count + PRIOR) / whole if total else np.ones(len(count))
+                p = single.copy()
+                for d, ctx in enumerate(contexts(text, depth), start=1):
+                    at = np.flatnonzero((text.place >= d) & holds(bits, ctx))
+                    place = np.minimum(np.searchsorted(ctxs, ctx[at]), max(len(ctxs) - 1, 0))
+                    found = ctxs[place] == ctx[at] if len(ctxs) else np.zeros(len(at), bool)
+                    at, place = at[found], place[found]
+                    c = n[np.searchsorted(own, key_of(ctx[at], text.token[at]))]
+                    p[at] = (c + followers_of[place] * p[at]) / (seen_of[place] + followers_of[place])
+                sums = [np.add.reduceat(x, text.of[:-1]) for x in (np.ones(len(p)), (count > 0).astype(float), np.log10(single), np.log10(p))]
                 out.append(np.stack(sums))
         found = np.concatenate(out, axis=1) if out else np.empty((4, 0))
-        columns = [rows.column("doc_id"), pa.array(count), *(pa.array(found[i].astype(np.int64)) for i in (0, 1)), *map(pa.array, found[2:])]
+        columns = [rows.column("doc_id"), rows.column("rows"), *(pa.array(found[i].astype(np.int64)) for i in (0, 1)), *map(pa.array, found[2:])]
         return pa.table(dict(zip(("doc_id", "rows", "n_tokens", "n_known", "base_score", "score"), columns, strict=True)))
 
-    scored = grouped.groupBy("grp").cogroup(replies.groupBy("grp")).applyInArrow(run, SCORES)
+    told = known.select(F.col("grp").alias("of"), "key", "a", "b")
+    scored = grouped.groupBy("grp").cogroup(told.groupBy("of")).applyInArrow(run, SCORES)
     scored = scored.withColumn("rows", F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))))
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-def found_in(keys: np.ndarray, chance: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Chance of each key, 0 if it is not among the sorted ``keys``."""
-    if not len(keys):
-        return np.zeros(len(key))
-    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-    return np.where(keys[at] == key, chance[at], 0.0)

@@ -213,29 +213,26 @@ def test_scores_are_chances_of_a_tree(docs, rows, none):
 
 
 def test_next_symbol_chances_add_up(spark):
-    import numpy as np
-
     text = " ".join(["a b a b a c"] * 60)
     docs = frame(spark, [(1, text, None, None, None), (2, "b a c c", None, None, None)], False)
-    tree, table, total, kinds = suffix_tree.grow(docs, 3, 0.02, 0.01)
-    chance = {r["key"]: r["p"] for r in table.collect()}
-    assert len(tree.parent) > 1 and sum(map(len, tree.ids)) >= 1
-    split = suffix_tree.words(__import__("pyarrow").array(["a b c"]))
-    symbols = np.append(split.hash, suffix_tree.END)
+    levels, total, kinds = suffix_tree.learn(docs, 3, 10, 0.02, 0.01)
+    kept = [r for level in levels for r in level.filter("kept").collect()]
+    assert kept
+    # the chances of all followers and what is left to the parent make one: by the context's sums alone
+    texts = [text.split() + [None], "b a c c".split() + [None]]
+    after = {d: Counter(tuple(t[i - d : i + 1]) for t in texts for i in range(d, len(t))) for d in (1, 2, 3)}
+    sums = Counter()
+    for d in after:
+        held = {}
+        for (*ctx, w), c in after[d].items():
+            held.setdefault(tuple(ctx), []).append(c)
+        sums.update((sum(cs), len(cs)) for cs in held.values())
+    for r in kept:
+        assert sums[r["total"], r["followers"]]
+        assert r["total"] / (r["total"] + r["followers"]) + r["followers"] / (r["total"] + r["followers"]) == 1
     unknown = 0.1 / (total + 0.1 * (kinds + 1))
-
-    def p(state, symbol):
-        key = int(suffix_tree.key_of(np.array([state]), np.array([symbol])).view(np.int64)[0])
-        if key in chance:
-            return chance[key]
-        return tree.backoff[state] * p(tree.parent[state], symbol) if state else unknown
-
-    for state in [0, *np.concatenate(tree.numbers).tolist()]:
-        rest = unknown
-        up = state
-        while up:
-            rest, up = rest * tree.backoff[up], tree.parent[up]
-        assert abs(sum(p(state, s) for s in symbols) + rest - 1) < 1e-9
+    one = Counter(w for t in texts for w in t)
+    assert abs(sum((c + 0.1) / (total + 0.1 * (kinds + 1)) for c in one.values()) + unknown - 1) < 1e-9
 
 
 def test_quality_needs_no_truth(spark, docs, rows, none):
