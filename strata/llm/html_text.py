@@ -37,24 +37,34 @@ CLOSES = {
     **{f"h{i}": ({f"h{j}" for j in range(1, 7)}, {"div", "section", "article", "td", "th", "li"}) for i in range(1, 7)},
 }
 SCOPE = frozenset("table td th caption html template button object".split())
-UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(hidden|collapse)", re.IGNORECASE)
+SHOWN_INPUTS = frozenset("text search url tel email number date time month week datetime-local submit button reset".split())
+NO_BOX = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.IGNORECASE)
+WIDE = 60
 BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("children", "down", "hidden", "span", "start", "tag")
+    __slots__ = ("children", "closed", "down", "hidden", "span", "start", "tag", "visible")
 
     def __init__(self, tag: str, attributes: dict[str, str | None]):
         self.tag, self.children = tag, []
-        self.hidden = tag in HIDDEN or "hidden" in attributes or bool(UNSEEN.search(attributes.get("style") or ""))
-        self.span = max(1, number(attributes.get("colspan"), 1)) if tag in ("td", "th") else 1
-        self.down = (number(attributes.get("rowspan"), 1) or 1 << 20) if tag in ("td", "th") else 1  # 0: to the end of the group
-        self.start = number(attributes.get("start"), 1) if tag == "ol" else 1
+        style = attributes.get("style") or ""
+        self.closed = tag in ("details", "dialog") and "open" not in attributes
+        self.hidden = tag in HIDDEN or "hidden" in attributes or bool(NO_BOX.search(style)) or (tag == "dialog" and self.closed)
+        said = VISIBILITY.findall(style)
+        self.visible = said[-1].lower() == "visible" if said else None  # None: as around it
+        cell = tag in ("td", "th")
+        self.span = max(1, min(1000, number(attributes.get("colspan"), 1))) if cell else 1  # the standard's bounds of spans
+        self.down = (max(0, min(65534, number(attributes.get("rowspan"), 1))) or 1 << 20) if cell else 1  # 0: to the end of the group
+        self.start = number(attributes.get("start"), 1) if tag == "ol" else number(attributes.get("value"), None) if tag == "li" else 1
+        if tag == "input" and (attributes.get("type") or "text").lower() in SHOWN_INPUTS and attributes.get("value"):
+            self.children.append(attributes["value"])
 
 
-def number(text: str | None, default: int) -> int:
-    found = re.match(r"\s*(\d{1,6})", text or "")
-    return min(int(found[1]), 1000) if found else default
+def number(text: str | None, default: int | None) -> int | None:
+    found = re.match(r"\s*([+-]?\d{1,18})", text or "")
+    return int(found[1]) if found else default
 
 
 class Tree(HTMLParser):
@@ -66,6 +76,9 @@ class Tree(HTMLParser):
         self.open = [self.root]
         self.number: dict[str, int] = {}  # open elements by tag, so that most searches can be left out
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        return self.parse_bogus_comment(i)  # outside drawings and formulas the standard knows no such sections
+
     def cut(self, i: int) -> None:
         for node in self.open[i:]:
             self.number[node.tag] -= 1
@@ -190,30 +203,44 @@ class Table:
 
 
 def aligned(rows: list[list[str]]) -> list[str]:
-    """Cells padded to the width of their column."""
+    """Cells padded to the width of their column, which cells of over WIDE characters do not set."""
     widths = [0] * max(map(len, rows), default=0)
     for row in rows:
+        while row and not row[-1]:
+            row.pop()
         for i, cell in enumerate(row):
-            widths[i] = max(widths[i], len(cell))
+            if len(cell) <= WIDE:
+                widths[i] = max(widths[i], len(cell))
     return [" | ".join(c.ljust(w) for c, w in zip(row, widths, strict=False)).rstrip() for row in rows]
 
 
+def shown(node: Node) -> list:
+    """The children; of closed details only the summary."""
+    if node.tag == "details" and node.closed:
+        return [c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1]
+    return node.children
+
+
 def render(root: Node) -> str:
     """Walk the tree without recursion; tables collect their cells before they are written."""
-    pages, tables, lists, literal = [Page()], [], [], 0
+    pages, tables, lists, literal, visible = [Page()], [], [], 0, [True]
     steps: list[tuple[object, bool]] = [(root, True)]
     while steps:
         node, enter = steps.pop()
         page = pages[-1]
         if isinstance(node, str):
-            (page.literal if literal else page.inline)(node)
+            if visible[-1]:
+                (page.literal if literal else page.inline)(node)
             continue
         tag = node.tag
         if enter:
             if node.hidden:
                 continue
+            visible.append(visible[-1] if node.visible is None else node.visible)
             steps.append((node, False))
-            steps.extend((c, True) for c in reversed(node.children))
+            steps.extend((c, True) for c in reversed(shown(node)))
+        else:
+            visible.pop()
         if tag == "br" and enter:
             page.end_line(keep=True)
         elif tag == "table":
@@ -254,6 +281,7 @@ def render(root: Node) -> str:
             if enter:
                 outer = " " * len(outer)
                 if here and here[0]:
+                    here[1] = here[1] if node.start is None else node.start
                     page.mark = f"{outer}{here[1]}. "
                     here[1] += 1
                 else:
@@ -274,7 +302,10 @@ def page_text(html: str | None) -> str | None:
     """All visible text of a page; null stays null, an empty page gives an empty text.
 
     All options of a select count as visible, as do formulas, labels in drawings, form
-    texts and what stands in an object; what replaces a video, sound, frame or canvas not.
+    texts, values of fields and buttons, and what stands in an object; what replaces a video,
+    sound, frame or canvas not, nor a closed dialog or the body of closed details. Rules in
+    style sheets are not applied, only attributes of the elements. Any text can be parsed, of
+    any length; padding of tables adds at most WIDE characters a cell.
     """
     if html is None:
         return None

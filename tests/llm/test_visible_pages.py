@@ -20,3 +20,34 @@ from strata.llm.html_text import page_text
 ])
 def test_visible_text(html, text):
     assert page_text(html) == text
+
+
+@pytest.mark.parametrize("html, text", [
+    ("a<![foo bar]>b", "ab"),
+    ("a<![ if y ]>b", "ab"),
+    ("<ol start=1999><li>x<li value=2005>y<li>z</ol>", "1999. x\n2005. y\n2006. z"),
+    ("<ol start=-1><li>x<li>y</ol>", "-1. x\n0. y"),
+    ("<p style='visibility:hidden'>no <b style='visibility: visible'>yes</b> no</p>", "yes"),
+    ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+    ("<details>no<summary>Sum</summary>no</details><details open><summary>S</summary>body</details>", "Sum\nS\nbody"),
+    ("<input value=V><input type=hidden value=no><input type=submit value=Go><button>Press</button>", "VGoPress"),
+])
+def test_rules_of_visibility(html, text):
+    assert page_text(html) == text
+
+
+def test_a_wide_cell_does_not_pad_its_column():
+    page = "<table>" + "<tr><td>" + "w" * 50_000 + "<td>x" + "<tr><td>a<td>b" * 2_000 + "</table>"
+    text = page_text(page)
+    assert len(text) < 4 * len(page) and "w" * 50_000 in text and text.count("a | b") == 2_000
+
+
+def test_no_page_ends_the_job():
+    import random
+
+    draw = random.Random(1)
+    bits = ["<", ">", "<!", "<![", "]]>", "<!--", "-->", "&", "&#", "&#x110000;", "&lt", "</", "/>", "'", '"', "=", " ", "\x00", "é", "<?", "<!doctype", "[", "]", "x", "%", "--",
+            "table", "tr", "td rowspan=0", "td colspan=-3", "li", "ol start=9", "p", "script", "style", "textarea", "plaintext", "svg", "math", "select", "details", "input value=1", "br", "template"]
+    for _ in range(10_000):
+        page = "".join(draw.choice(bits) if draw.random() < 0.6 else f"<{draw.choice(bits[26:])}>" for _ in range(draw.randrange(1, 25)))
+        assert isinstance(page_text(page), str), page
