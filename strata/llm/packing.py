@@ -11,7 +11,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,12 +29,13 @@ def vocabulary() -> str:
 
 
 @functools.cache
-def encoder(path: str) -> tiktoken.Encoding:
+def encoder(path: str):
     """The vocabulary as ranks gives the ids of its tokenizer file, in a fifth of the time.
 
     The added tokens stand in the tokenizer file beside the ranks, if there is one.
     """
     import public_tokenizers
+    import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -46,7 +46,7 @@ def encoder(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
-def encode(encoding: tiktoken.Encoding, text: str) -> list[int]:
+def encode(encoding, text: str) -> list[int]:
     """Ids of a text, which is cut at the added tokens first, as the tokenizer does."""
     if any(token in text for token in encoding.special_tokens_set):
         return encoding.encode(text, allowed_special="all")
