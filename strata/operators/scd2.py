@@ -16,6 +16,7 @@ from strata.operators.quality import expect_fail
 from strata.operators.windows import latest_per_key, neighbour
 
 START, END = "__START_AT", "__END_AT"
+MERGED = "__MERGED"  # the version repeats the one before it in all tracked columns
 
 
 def _split_for(df: DataFrame, sequence_by: str) -> Column | None:
@@ -50,33 +51,61 @@ def scd2_history(
     With ``tracked``, neighbouring versions equal in those columns merge and keep
     the earliest start.
     """
-    split = _split_for(df, sequence_by)
-    sound = expect_fail(df, {f"{sequence_by} is set": F.col(sequence_by).isNotNull()})
-    rows = latest_per_key(sound, [*keys, sequence_by], tie_break)
     if tracked is not None:
-        rows = rows.select(*dict.fromkeys([*keys, sequence_by, *tracked]))
-        state = F.struct(*tracked)
-        rows = (
-            neighbour(rows, keys, sequence_by, state, "_previous", ahead=False, split=split)
-            .filter(~F.col("_previous").eqNullSafe(state))
-            .drop("_previous")
-        )
-    dated = neighbour(rows, keys, sequence_by, F.col(sequence_by), END, split=split)
+        return scd2_merged(scd2_versions(df, keys, sequence_by, tie_break, tracked), keys, sequence_by, tracked)
+    rows = _versions(df, keys, sequence_by, tie_break)
+    dated = neighbour(rows, keys, sequence_by, F.col(sequence_by), END, split=_split_for(df, sequence_by))
     return dated.withColumn(START, F.col(sequence_by)).select(*rows.columns, START, END)
 
 
+def _versions(df: DataFrame, keys: Sequence[str], sequence_by: str, tie_break: Sequence[Column]) -> DataFrame:
+    sound = expect_fail(df, {f"{sequence_by} is set": F.col(sequence_by).isNotNull()})
+    return latest_per_key(sound, [*keys, sequence_by], tie_break)
+
+
+def scd2_versions(
+    df: DataFrame, keys: Sequence[str], sequence_by: str, tie_break: Sequence[Column], tracked: Sequence[str]
+) -> DataFrame:
+    """All versions with all their columns, those that merge into the one before marked by ``__MERGED``.
+
+    Kept as a table, this is all that a later batch needs: a late row may split what was
+    merged, or merge what was apart. The others have the interval up to the next one that
+    does not merge.
+    """
+    split, rows = _split_for(df, sequence_by), _versions(df, keys, sequence_by, tie_break)
+    state = F.struct(*tracked)
+    marked = neighbour(rows, keys, sequence_by, state, "_previous", ahead=False, split=split)
+    marked = marked.withColumn(MERGED, F.col("_previous").eqNullSafe(state)).drop("_previous")
+    dated = neighbour(marked, [*keys, MERGED], sequence_by, F.col(sequence_by), END, split=split)
+    dated = dated.withColumns({START: F.col(sequence_by), END: F.when(~F.col(MERGED), F.col(END))})
+    return dated.select(*rows.columns, START, END, MERGED)
+
+
+def scd2_merged(versions: DataFrame, keys: Sequence[str], sequence_by: str, tracked: Sequence[str]) -> DataFrame:
+    """The history over the ``tracked`` columns from marked versions."""
+    columns = dict.fromkeys([*keys, sequence_by, *tracked])
+    return versions.filter(~F.col(MERGED)).select(*columns, START, END)
+
+
 def scd2_apply(
-    history: DataFrame, batch: DataFrame, keys: Sequence[str], sequence_by: str, tie_break: Sequence[Column]
+    history: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str,
+    tie_break: Sequence[Column],
+    tracked: Sequence[str] | None = None,
 ) -> DataFrame:
     """Fold a batch into a history; only the keys of the batch are rebuilt.
 
-    The batch may bring new columns; rows from before have NULL in them.
+    The batch may bring new columns; rows from before have NULL in them. With ``tracked``,
+    history and result are marked versions (``scd2_versions``), read by ``scd2_merged``.
     """
     touched = batch.select(*keys).distinct()
     untouched = history.join(touched, list(keys), "left_anti")
-    known = history.join(touched, list(keys), "left_semi").drop(START, END)
+    known = history.join(touched, list(keys), "left_semi").drop(START, END, MERGED)
     rows = known.unionByName(batch, allowMissingColumns=True)
-    rebuilt = scd2_history(rows, keys, sequence_by, tie_break)
+    how = (rows, keys, sequence_by, tie_break)
+    rebuilt = scd2_history(*how) if tracked is None else scd2_versions(*how, tracked)
     return untouched.unionByName(rebuilt, allowMissingColumns=True)
 
 

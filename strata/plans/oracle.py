@@ -441,6 +441,7 @@ ORACLE |= {
     "stream_table": ORACLE["silver_cleanse"],
     "stream_upsert": plain("fleet"),
     "stream_scd2": plain("history"),
+    "stream_scd2_subset": ORACLE["scd2_subset"],
     "layers_production_by_site": ORACLE["production_by_site"],
     "layers_maintenance_due": f"SELECT * FROM ({ORACLE['maintenance_due']}) WHERE equipment_id > 0",
     "load_full": plain("daily"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strata import model
 from strata.model import AS_OF, EQUIPMENT_KEYS, SOURCE_KEYS
-from strata.operators import documents
+from strata.operators import documents, scd2
 from strata.plans import loads, marts, medallion
 from strata.plans.catalog import COMMITS, query
 from strata.session import scratch_dir
@@ -256,6 +256,18 @@ def stream_scd2(spark, sf_dir):
     return versions.read(spark, f"{work}/table")
 
 
+@query
+def stream_scd2_subset(spark, sf_dir):
+    """Two deliveries, the later period first, into one history over the status alone."""
+    work, tracked = scratch_dir(spark, "scd2-subset"), ["status"]
+    for rows in _deliver_events(spark, sf_dir, f"{work}/landing", [_new_period(), ~_new_period()]):
+        tables.stream_scd2(
+            rows, f"{work}/table", EQUIPMENT_KEYS, "last_maintenance_date", [F.desc("event_id")],
+            f"{work}/checkpoint", versions.part_by_key(EQUIPMENT_KEYS, 8), tracked=tracked,
+        )
+    return scd2.scd2_merged(versions.read(spark, f"{work}/table"), EQUIPMENT_KEYS, "last_maintenance_date", tracked)
+
+
 def _layers(spark, sf_dir):
     """Two deliveries through all layers; returns the folder of the tables."""
     base = scratch_dir(spark, "layers")

@@ -6,10 +6,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from strata.operators.changes import merge_upsert
-from strata.operators.scd2 import END, START, scd2_apply
+from strata.operators.scd2 import END, MERGED, START, scd2_apply
 from strata.operators.windows import latest_per_key
 from strata.sources import versions
 from strata.sources.files import if_present
@@ -77,13 +77,19 @@ def stream_scd2(
     checkpoint: str,
     part: Column | None = None,
     trigger: str = AVAILABLE_NOW,
+    tracked: Sequence[str] | None = None,
 ) -> int | StreamingQuery:
-    """Keep the full history per key; batches may arrive in any order."""
+    """Keep the full history per key; batches may arrive in any order.
+
+    With ``tracked`` the table holds marked versions; ``scd2_merged`` reads the history of
+    those columns from it.
+    """
     kind = rows.schema[sequence_by].dataType
-    schema = StructType([*rows.schema.fields, StructField(START, kind), StructField(END, kind)])
+    marks = [] if tracked is None else [StructField(MERGED, BooleanType())]
+    schema = StructType([*rows.schema.fields, StructField(START, kind), StructField(END, kind), *marks])
 
     def merge(before: DataFrame, batch: DataFrame) -> DataFrame:
-        return scd2_apply(before, batch, keys, sequence_by, tie_break)
+        return scd2_apply(before, batch, keys, sequence_by, tie_break, tracked)
 
     return _stream_rewrite(rows, root, schema, keys, checkpoint, part, trigger, lambda b: b, merge)
 

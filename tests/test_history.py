@@ -107,3 +107,23 @@ def test_global_rank_with_a_dominant_value(spark):
     for rank in (windows.global_rank, windows.bounded_rank):
         assert {r["id"]: r["r"] for r in rank(df, "v", "r").collect()} == want
     assert windows.global_rank(df.limit(0), "v", "r").count() == 0
+
+
+def test_tracked_columns_in_any_order_of_arrival(spark):
+    import random
+
+    draw = random.Random(4)
+    rows = [(k, s, draw.choice("ab"), s * 10 + i) for k in range(12) for s in draw.sample(range(30), 12) for i in range(draw.choice([1, 1, 2]))]
+    rows += [(99, s, None if s % 3 else "a", s) for s in range(40)]
+    how = (["k"], "seq", [F.desc("event")])
+    frame = lambda part: spark.createDataFrame(part, "k int, seq int, state string, event int")
+    want = sorted(map(tuple, scd2.scd2_history(frame(rows), *how, tracked=["state"]).collect()), key=repr)
+    for _ in range(3):
+        draw.shuffle(rows)
+        cuts = [0, 30, 31, 90, len(rows)]
+        state = scd2.scd2_versions(frame(rows[:0]), *how, ["state"])
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            state = spark.createDataFrame(scd2.scd2_apply(state, frame(rows[a:b]), *how, tracked=["state"]).toArrow())
+        got = scd2.scd2_merged(state, ["k"], "seq", ["state"])
+        assert sorted(map(tuple, got.collect()), key=repr) == want
+        assert scd2.scd2_current(got).count() == 13
