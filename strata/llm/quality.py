@@ -27,11 +27,8 @@ SAMPLE = 16_000
 EPOCHS = 8
 BATCH = 512
 PREFIX = 5
-GIVEN = 1 - 1e-6
 SHARE = 0.1
-
-
-YES_ONLY = ("toxic_insults", "toxic_repeated")
+START = np.array([[0.5, 3.0, 1.5], [3.0, 1.0, 1.0]])  # yes, no, silent; first row: where the truth is no
 HEURISTICS = ("poor_letters", "poor_symbols", "poor_capitals", "poor_separators", "poor_repeats", "toxic_insults", "toxic_repeated")
 _INSULT = re.compile(rb"(?<![A-Za-z])(?:" + "|".join(INSULTS).encode() + rb")s?(?![A-Za-z])", re.IGNORECASE)
 
@@ -124,42 +121,41 @@ def labellers(task: str, columns: list[str]) -> list[str]:
     return [c for c in columns if c.startswith(f"{task}_")]
 
 
-def accuracies(patterns: pd.DataFrame, names: list[str], steps: int = 100) -> tuple[float, np.ndarray]:
-    """EM over vote patterns with counts: the share of yes, and P(vote | truth) per labeller.
+def outcomes(seen: np.ndarray) -> np.ndarray:
+    """Votes as outcomes: 0 yes, 1 no, 2 silent. Silence is an outcome like any other."""
+    return np.where(np.isnan(seen), 2, np.where(seen == 1, 0, 1))
+
 
-    The share of yes is that of the given labels, or SHARE without any: labellers that
-    never say no cannot tell it.
+def accuracies(patterns: pd.DataFrame, names: list[str], steps: int = 200) -> tuple[float, np.ndarray]:
+    """EM over vote patterns with counts: the share of yes, and P(outcome | truth) per heuristic.
 
-    ``patterns`` has a column per labeller (NaN: no vote) and ``n``; there are at most
-    3 ** labellers rows. Labellers start as better than chance, which settles which side is
-    yes. Of a labeller that only says yes, P(vote | truth) is over all documents; its
-    silence says nothing about the truth. Given labels keep the accuracy of GIVEN: heuristics that share a blind spot would
-    otherwise outvote them.
+    ``patterns`` has a column per labeller (NaN: no vote), the given labels last, and ``n``;
+    there are at most 3 ** labellers rows. The share of yes and all rates are estimated
+    from all documents. Heuristics start as better than chance, which settles which side is
+    yes, and START also counts as a few documents, so that no rate becomes zero. Where a
+    label is given it is the truth: heuristics that share a blind spot would otherwise
+    outvote it. Without labels the votes alone decide.
     """
-    seen = patterns[names].to_numpy(float)
-    n = patterns["n"].to_numpy(float)
-    given = np.array([name.endswith("_label") for name in names])
-    rate = np.where(given, [[1 - GIVEN], [GIVEN]], [[0.1], [0.7]])  # P(vote yes | truth), rows: no, yes
-    always = np.isin(names, YES_ONLY)
-    told = ~np.isnan(seen[:, given]).all(axis=1)
-    prior = float((np.nan_to_num(seen[:, given]).max(axis=1, initial=0) @ n + 10 * SHARE) / (n[told].sum() + 10))
+    seen, n = patterns[names].to_numpy(float), patterns["n"].to_numpy(float)
+    cast = outcomes(seen[:, :-1])
+    rate = np.repeat(START[:, None, :] / START.sum(axis=1)[:, None, None], cast.shape[1], axis=1)
+    prior = 2 * SHARE
     for _ in range(steps):
         truth = posterior(seen, prior, rate)
+        prior = float((truth @ n + 1) / (n.sum() + 1 / SHARE))
         for row, weight in enumerate(((1 - truth) * n, truth * n)):
-            cast = ~np.isnan(seen) | always
-            yes = (np.nan_to_num(seen) * weight[:, None]).sum(axis=0)
-            fitted = (yes + (1, 7)[row]) / ((cast * weight[:, None]).sum(axis=0) + 10)
-            rate[row] = np.where(given, rate[row], fitted)
+            told = np.stack([weight @ (cast == o) for o in range(3)], axis=1) + START[row]
+            rate[row] = told / told.sum(axis=1, keepdims=True)
     return prior, rate
 
 
 def posterior(seen: np.ndarray, prior: float, rate: np.ndarray) -> np.ndarray:
-    """Probability of yes given the votes, labellers taken as independent given the truth."""
+    """Probability of yes given the votes: the given label (last column), or the heuristics, independent given the truth."""
+    cast = outcomes(seen[:, :-1])
     odds = np.full(len(seen), np.log(prior / (1 - prior)))
-    for j in range(seen.shape[1]):
-        yes, no = np.log(rate[1, j] / rate[0, j]), np.log((1 - rate[1, j]) / (1 - rate[0, j]))
-        odds += np.where(np.isnan(seen[:, j]), 0, np.where(seen[:, j] == 1, yes, no))
-    return 1 / (1 + np.exp(-odds))
+    for j in range(cast.shape[1]):
+        odds += np.log(rate[1, j] / rate[0, j])[cast[:, j]]
+    return np.where(np.isnan(seen[:, -1]), 1 / (1 + np.exp(-odds)), seen[:, -1])
 
 
 def learn_labellers(voted: DataFrame) -> dict[str, tuple[list[str], float, np.ndarray]]:
@@ -203,7 +199,7 @@ def train(docs: DataFrame, voted: DataFrame, learned: dict, sample: int = SAMPLE
     Fitted on a sample of about ``sample`` documents by a hash of the text, half of them
     with given labels if there are enough: a documented bound, as one task holds it.
     Everything before and after covers all documents. Texts without any vote on a task do
-    not teach it if others have labels; with no labels they stand in at the share of yes.
+    not teach it if others have labels; with no labels their silence does.
     """
     labelled = F.coalesce("poor_label", "toxic_label").isNotNull()
     n, n_labelled = voted.agg(F.count(F.lit(1)), F.count(F.when(labelled, 1))).first()
@@ -267,9 +263,10 @@ def votes_of(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
 def classify(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE) -> DataFrame:
     """Score every document: doc_id, quality, toxicity (both 0 to 1) and whether to keep it.
 
-    Heuristic labellers vote on all documents; EM over all vote patterns gives each
-    labeller's accuracy without any truth; the posterior labels train linear scorers on
-    hashed words, which judge every whole text. ``keep`` asks for quality of at least one
+    Heuristic labellers vote on all documents; EM over all vote patterns estimates the share
+    of yes and what each labeller does in either case. Hand labels, where there are any, are
+    taken as the truth of their documents; without them the votes alone decide. The
+    posterior labels train linear scorers on hashed words, which judge every whole text. ``keep`` asks for quality of at least one
     half and toxicity below it. A null or empty text is poor (not kept). Repeated rows and
     null ids are scored each on their own, an empty table gives no rows, and columns other
     than those read may have any name.

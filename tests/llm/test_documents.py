@@ -268,6 +268,41 @@ def test_hashes_of_kept_words_agree(spark, rows):
     assert set(queries.ORACLE) <= set(queries.QUERIES)
 
 
+def test_em_equals_brute_force_and_finds_planted_rates():
+    import numpy as np
+    import pandas as pd
+
+    draw = np.random.default_rng(1)
+    true = draw.random(2000) < 0.3
+    planted = np.array([[[0.05, 0.8, 0.15], [0.1, 0.6, 0.3], [0.02, 0.0, 0.98]], [[0.7, 0.1, 0.2], [0.6, 0.2, 0.2], [0.5, 0.0, 0.5]]])
+    cast = np.stack([[draw.choice(3, p=planted[int(t), j]) for t in true] for j in range(3)], axis=1)
+    votes = np.where(cast == 2, np.nan, (cast == 0).astype(float))
+    for share in (0.0, 0.2):
+        label = np.where(draw.random(len(true)) < share, true.astype(float), np.nan)
+        names = ["poor_a", "poor_b", "poor_c", "poor_label"]
+        table = pd.DataFrame(np.column_stack([votes, label]), columns=names)
+        patterns = table.groupby(names, dropna=False).size().reset_index(name="n")
+        prior, rate = quality.accuracies(patterns, names)
+        assert abs(prior - true.mean()) < 0.05 and np.abs(rate - planted).max() < 0.12
+        # the same, document by document
+        p, r = 0.2, [[[x / sum(row) for x in row] for _ in range(3)] for row in quality.START.tolist()]
+        for _ in range(200):
+            post = []
+            for c, y in zip(cast.tolist(), label.tolist()):
+                yes, no = p, 1 - p
+                for j, o in enumerate(c):
+                    yes, no = yes * r[1][j][o], no * r[0][j][o]
+                post.append(yes / (yes + no) if y != y else y)
+            p = (sum(post) + 1) / (len(post) + 10)
+            for row in (0, 1):
+                for j in range(3):
+                    told = list(quality.START[row])
+                    for c, t in zip(cast[:, j].tolist(), post):
+                        told[c] += t if row else 1 - t
+                    r[row][j] = [x / sum(told) for x in told]
+        assert abs(p - prior) < 1e-6 and np.abs(np.array(r) - rate).max() < 1e-6
+
+
 def test_rare_contexts_are_candidates_at_any_corpus_size(spark):
     filler = [(i, " ".join(f"f{(i * 31 + j * j * 7) % 2003}" for j in range(400)), None, None, None) for i in range(60)]
     taught = [(1000 + i, "red green blue gold", None, None, None) for i in range(12)] + [(2000 + i, f"green blue x{i}", None, None, None) for i in range(12)]
