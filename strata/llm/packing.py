@@ -20,6 +20,7 @@ from strata.llm.common import slices, store
 CAPACITY = 2048
 END_ID = 1
 GROUP_PIECES = 1 << 14
+UNPACKED_ROWS = 1 << 10
 
 
 def vocabulary() -> str:
@@ -65,9 +66,15 @@ PIECES = T.StructType(
 IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
 
-def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+PACKED = T.StructField("packed_ids", T.BinaryType())
+
+
+def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False, packed: bool = False) -> DataFrame:
     """Tokenize every document and cut it into pieces of at most ``capacity`` ids.
 
+    ``keep_ids`` adds the ids as an array; with ``packed`` they are bytes (``packed_ids``, two
+    an id if the vocabulary allows), which ``pack`` turns into the array at its end.
+
     A document is its ids and one end id; a null or empty text is the end id alone. The
     string of an added token is that token's id, as with the tokenizer itself.
     Only ``doc_id`` and ``text`` are read, so other columns may have any name. Repeated
@@ -77,6 +84,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, k
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = encoder(path)
+        narrow = "<u2" if encoding.max_token_value < 1 << 16 else "<u4"
         for batch in batches:
             for part in slices(batch, "text"):
                 rows, ids = [], []
@@ -86,13 +94,13 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, k
                         piece = doc[start : start + capacity]
                         rows.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(doc)))
                         if keep_ids:
-                            ids.append(piece.astype(np.int32))
+                            ids.append(piece.astype(narrow).tobytes() if packed else piece.astype(np.int32))
                 columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * 5
                 if keep_ids:
-                    columns.append(pa.array(ids, pa.list_(pa.int32())))
+                    columns.append(pa.array(ids, pa.binary() if packed else pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    schema = T.StructType([*PIECES.fields, IDS]) if keep_ids else PIECES
+    schema = T.StructType([*PIECES.fields, PACKED if packed else IDS]) if keep_ids else PIECES
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(cut, schema)
 
 
@@ -120,6 +128,16 @@ def first_fit(lengths: np.ndarray, capacity: int) -> tuple[list[int], list[int]]
     return bins, offsets
 
 
+def unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows with their ids as an array instead of bytes."""
+    if PACKED.name not in batch.schema.names:
+        return batch
+    place = batch.schema.get_field_index(PACKED.name)
+    lengths = batch.column("length").to_numpy()
+    held = [np.frombuffer(b.as_buffer(), dtype=f"<u{len(b.as_buffer()) // n}").astype(np.int32) for b, n in zip(batch.column(place), lengths, strict=True)]
+    return batch.set_column(place, "ids", pa.array(held, pa.list_(pa.int32())))
+
+
 def pack(cut: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """Place pieces (rows with a ``length`` of 1 to ``capacity``) into sequences.
 
@@ -131,7 +149,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIE
     """
     cut = store(cut.drop("sequence_id", "offset"), "packing")
     groups = max(1, -(-cut.count() // group_pieces))
-    schema = T.StructType([*cut.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    fields = [IDS if f.name == PACKED.name else f for f in cut.schema.fields]
+    schema = T.StructType([*fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -144,7 +163,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIE
         bins, offsets = first_fit(rows.column("length").to_numpy(), capacity)
         rows = rows.append_column("sequence_id", pa.array((group << 32) + np.array(bins, dtype=np.int64)))
         rows = rows.append_column("offset", pa.array(offsets, pa.int64()))
-        yield from rows.to_batches()
+        yield from (unpacked(b) for b in rows.to_batches(UNPACKED_ROWS))
 
     order = [F.col(c) for c in cut.columns if not isinstance(cut.schema[c].dataType, T.MapType) and c != "length"]
     return cut.repartition(groups).sortWithinPartitions(F.desc("length"), *order).mapInArrow(place, schema)
