@@ -64,7 +64,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``packing.sequences`` reads the sequences themselves from the result.
     """
-    return packing.pack(packing.pieces(docs, keep_ids=True))
+    return packing.pack(packing.pieces(docs, keep_ids=True, packed=True))
 
 
 STAGES = [
