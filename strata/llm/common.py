@@ -10,8 +10,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.session import scratch_dir
+from strata.sources.schemas import quoted
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 21
@@ -42,6 +44,17 @@ def store(df: DataFrame, purpose: str, release: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def named(name: str) -> Column:
+    """The column of this very name, dots and all."""
+    return F.col(quoted(name))
+
+
+def hash_of(docs: DataFrame, names: list[str]) -> Column:
+    """A hash of the values of some columns; maps count by their JSON text."""
+    maps = [isinstance(docs.schema[c].dataType, (T.MapType, T.VariantType)) for c in names]
+    return F.xxhash64(F.lit(0), *(F.to_json(F.struct(named(c).alias("m"))) if m else named(c) for c, m in zip(names, maps, strict=True)))
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, store
+from strata.llm.common import WORD, hash_of, named, store
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -168,7 +168,9 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         (F.col("whole") * F.col("rows") + F.col("more")).cast("int").alias("_full"), F.col("part").cast("int").alias("_part"),
     ).filter("_full > 0 OR _part > 0")
     own = F.struct(F.col("doc_id").cast("long").alias("i"), F.col("source").cast("string").alias("s"), F.xxhash64("text").alias("m"))
-    one = docs.select(own.alias("_class"), F.struct(*(docs[c] for c in names)).alias("_row")).dropDuplicates(["_class"])
+    rest = hash_of(docs, [c for c in names if c != "text"])  # of several rows always the same one
+    one = docs.select(own.alias("_class"), F.struct(*map(named, names)).alias("_row"), rest.alias("_rest"))
+    one = one.groupBy("_class").agg(F.min_by("_row", "_rest").alias("_row"))
     cut = F.array_join(F.slice(F.regexp_extract_all("_row.text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_part")), " ")
     copies = F.concat(
         F.array_repeat(F.col("_row.text"), F.col("_full")),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import Words, grams, mix, slices, words
+from strata.llm.common import Words, grams, hash_of, mix, named, slices, words
 
 LENGTH = 20
 GRAM = 8
@@ -56,12 +56,11 @@ def condensed(docs: DataFrame, groups: int) -> DataFrame:
     here, so a row that is repeated very often does not reach one group as often.
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    hashed = [docs[c] for c in rest if not isinstance(docs.schema[c].dataType, T.MapType)]
     doc_id, text = docs["doc_id"].cast("long"), docs["text"].cast("string")
     text_hash = F.xxhash64(text)
     rows = docs.select(
         F.pmod(F.xxhash64(doc_id, text_hash), F.lit(groups)).cast("int").alias("grp"), doc_id.alias("doc_id"), text_hash.alias("text_hash"),
-        F.xxhash64(F.lit(0), *hashed).alias("rest_hash"), F.struct(F.lit(0).alias("_"), *(docs[c] for c in rest)).alias("rest"),
+        hash_of(docs, rest).alias("rest_hash"), F.struct(F.lit(0).alias("_"), *map(named, rest)).alias("rest"),
         F.lit(1).cast("long").alias("rows"), text.alias("text"),
     )
 
