@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import jaccard, languages, mixing, packing, substrings
-from strata.llm.common import remainder, store
+from strata.llm.common import hash_of, named, remainder, store
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +35,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     best = joined.filter("n_shingles > 0").groupBy("part").agg(first.alias("best")).select("best.id", "best.hash")
     best = store(best, "pipeline").select(F.struct(F.col("id").alias("i"), F.col("hash").alias("h")).alias("_kept"))
     own = F.struct(F.col("doc_id").cast("long").alias("i"), F.xxhash64("text").alias("h"))
-    rows = docs.select(own.alias("_own"), F.struct(*(docs[c] for c in docs.columns)).alias("_row"))
+    rest = hash_of(docs, [c for c in docs.columns if c != "text"])  # of several rows always the same one
+    rows = docs.select(own.alias("_own"), F.struct(*map(named, docs.columns)).alias("_row"), rest.alias("_rest"))
     wordless = F.coalesce(~F.col("_row.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
-    one = rows.filter(~wordless).join(best, F.col("_own").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["_own"])
+    one = rows.filter(~wordless).join(best, F.col("_own").eqNullSafe(F.col("_kept")), "left_semi").groupBy("_own").agg(F.min_by("_row", "_rest").alias("_row"))
     kept = one.select("_row").unionAll(rows.filter(wordless).select("_row"))
     return kept.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
 
@@ -50,13 +51,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     cut = substrings.deduplicate(docs, as_is=True)
     chars = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return cut.select(*(chars.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    return cut.select(*(chars.alias(c) if c == "n_chars" else named(c) for c in docs.columns))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take documents as often as the source weights say; n_chars follows a cut text."""
     mixed = mixing.mixed_documents(docs)
-    return mixed.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    return mixed.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else named(c) for c in docs.columns))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
