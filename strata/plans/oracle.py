@@ -452,5 +452,7 @@ ORACLE |= {
     "load_state": build("audit", body="""SELECT unnest(['mirror', 'audit']) AS table_name,
       CAST(2 AS BIGINT) AS last_version, (SELECT max(_commit_version) FROM audit) AS audited_version"""),
     "as_of_version": plain("book1"),
+    "as_of_time": plain("book1"),
+    "ingest_new_files": "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-16'",
     "version_history": build("book0", "book1", "book2", body=_PARTS_BY_YEAR),
 }

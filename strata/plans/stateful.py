@@ -7,6 +7,7 @@ tables hold at the end.
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -108,6 +109,21 @@ def rescue_typed_files(spark, sf_dir):
     return versions.read(spark, root)
 
 
+@query
+def ingest_new_files(spark, sf_dir):
+    """An ingest that starts with what arrives after its first run: the later delivery alone."""
+    work = scratch_dir(spark, "ingest-new")
+    src, dst, meta = f"{work}/landing", f"{work}/bronze", f"{work}/meta"
+    events, early = model.table(spark, sf_dir, "events"), _before("ts", MID_EVENTS)
+    events.filter(early).write.parquet(src)
+    time.sleep(1)  # file times are whole seconds on some stores
+    ingest.ingest_files(spark, src, dst, meta, existing=False)
+    time.sleep(1)
+    events.filter(~early).write.mode("append").parquet(src)
+    ingest.ingest_files(spark, src, dst, meta, existing=False)
+    return ingest.read_bronze(spark, dst, meta).drop(schemas.RESCUED)
+
+
 @query
 def rescue_nested(spark, sf_dir):
     """Nested JSON events, some with misfits inside, an unknown inner field, or cut off: nothing is lost."""
@@ -417,6 +433,16 @@ def as_of_version(spark, sf_dir):
     return versions.read(spark, root, 1)
 
 
+@query
+def as_of_time(spark, sf_dir):
+    """The source as it looked at an hour between its second and its third version."""
+    root = f"{scratch_dir(spark, 'travel-time')}/source"
+    for closing in range(3):
+        _publish_closing(spark, sf_dir, root, closing)
+    moment = COMMITS[1] + dt.timedelta(hours=15)
+    return versions.read(spark, root, versions.version_at(spark, root, moment))
+
+
 @query
 def version_history(spark, sf_dir):
     root = f"{scratch_dir(spark, 'history')}/source"
