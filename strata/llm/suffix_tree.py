@@ -28,9 +28,11 @@ END = np.uint64(0x9D2C5680A7C3E1B5)
 
 
 class Learned(NamedTuple):
-    """Per depth a DataFrame (ctx, suffix, total, followers, kept) of the tested contexts; the tokens and distinct tokens in all."""
+    """Per depth a DataFrame (ctx, suffix, total, followers, kept) of the tested contexts; (key) of what was seen at
+    least twice, alone or after a retained context; the tokens and distinct tokens in all."""
 
     levels: list[DataFrame]
+    repeated: DataFrame
     total: int
     distinct_tokens: int
 
@@ -176,6 +178,7 @@ def learn(docs: DataFrame, depth: int, least_count: int, least_share: float, lea
     above = counts.select("key", ((F.col("c") + PRIOR) / (total + PRIOR * (distinct_tokens + 1))).alias("p"))
     candidates = counts.filter(often).select(F.col("key").alias("ctx"), F.lit(0).cast("long").alias("suffix"), F.col("c").alias("total"))
     levels: list[DataFrame] = []
+    repeated = counts.filter("c > 1").select("key")
     for d in range(1, depth + 1):
         if candidates.isEmpty():
             break
@@ -192,13 +195,14 @@ def learn(docs: DataFrame, depth: int, least_count: int, least_share: float, lea
         level = shape.join(gained, "ctx", "left").select("ctx", "suffix", "total", "followers", (gain > least_gain * F.col("total")).alias("kept"))
         level = store(level, "suffix-tree", release=True)
         levels.append(level)
+        repeated = repeated.unionAll(pairs.join(level.filter("kept").select("ctx"), "ctx", "left_semi").select("key"))
         if d < depth:
             p = (F.col("c") + spread) / (F.col("total") + F.col("followers"))
             own = tested.join(level.select("ctx", "kept"), "ctx").select("key", F.when(F.col("kept"), p).otherwise(F.col("pp")).alias("p"))
             above = store(own, "suffix-tree", release=True)
             candidates = pairs.filter(often).join(shape.select("ctx"), "ctx", "left_semi")
             candidates = store(candidates.select(F.col("key").alias("ctx"), F.col("up").alias("suffix"), F.col("c").alias("total")), "suffix-tree", release=True)
-    return Learned(levels, int(total), int(distinct_tokens))
+    return Learned(levels, repeated, int(total), int(distinct_tokens))
 
 
 def asked_by(rows: pa.Table | pa.RecordBatch, bits: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -223,16 +227,36 @@ def asked_by(rows: pa.Table | pa.RecordBatch, bits: np.ndarray, depth: int) -> t
     return found, np.bincount(at, np.concatenate([n for _, n in parts]), len(found)).astype(np.int64)
 
 
-def needed(grouped: DataFrame, bits: np.ndarray, depth: int) -> DataFrame:
-    """(key, grp, n): every distinct key some token of a group asks for, with its count in the group's training rows.
+def asked_unseen(docs: DataFrame, bits: np.ndarray, depth: int) -> DataFrame:
+    """(key): what the given texts, which were not learned from, ask for; a key more than once."""
 
-    Contexts are asked for without ``n``.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                text = read(part)
+                keys = [key_of(np.zeros(len(text.token)), text.token)]
+                for d, ctx in enumerate(contexts(text, depth), start=1):
+                    at = np.flatnonzero((text.place >= d) & holds(bits, ctx))
+                    keys.append(key_of(ctx[at], text.token[at]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(keys)).view(np.int64))], names=["key"])
+
+    return docs.select("text").mapInArrow(run, "key long")
+
+
+def needed(grouped: DataFrame, bits: np.ndarray, depth: int, shared: np.ndarray) -> DataFrame:
+    """(key, grp, n): the distinct keys some token of a group asks for, with their count in the group's training rows.
+
+    A key seen once in the group that is not in ``shared`` (seen twice in all, or asked for by
+    texts that were not learned from) is known to be seen once in all. Contexts are asked for
+    without ``n``.
     """
 
     def run(group: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grp, rows = group[0].as_py(), pa.Table.from_batches([*batches])
         rows = once(rows)
         keys, n = asked_by(rows, bits, depth)
+        open_ = (n != 1) | holds(shared, keys)
+        keys, n = keys[open_], n[open_]
         asked = [np.empty(0, np.uint64)]
         for batch in rows.to_batches():
             for part in slices(batch, "text"):
@@ -287,12 +311,15 @@ def score(docs: DataFrame, training: Column, depth: int = DEPTH, least_share: fl
     """
     rows, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     groups = max(1, -(-rows // group_rows), -(-size // group_bytes))
-    levels, total, distinct_tokens = learn(docs.filter(training), depth, least_count, least_share, least_gain)
+    levels, repeated, total, distinct_tokens = learn(docs.filter(training), depth, least_count, least_share, least_gain)
     whole = total + PRIOR * (distinct_tokens + 1)
     grouped = condensed(docs.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("training")), groups)
     kept = [level.filter("kept").select("ctx") for level in levels]
     bits = sieve(functools.reduce(DataFrame.unionAll, kept)) if kept else np.zeros(1, np.uint64)
-    asked = store(needed(grouped, bits, depth), "suffix-tree", release=True)
+    held_out = docs.filter(~F.coalesce(training, F.lit(False)))
+    shared = store(repeated.unionAll(asked_unseen(held_out, bits, depth)), "suffix-tree", release=True)
+    shared = sieve(shared.withColumnRenamed("key", "ctx"))
+    asked = store(needed(grouped, bits, depth, shared), "suffix-tree", release=True)
     known = store(replies(asked, levels), "suffix-tree", release=True)
 
     def run(rows: pa.Table, known: pa.Table) -> pa.Table:

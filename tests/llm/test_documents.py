@@ -215,7 +215,7 @@ def test_scores_are_chances_of_a_tree(docs, rows, none):
 def test_next_symbol_chances_add_up(spark):
     text = " ".join(["a b a b a c"] * 60)
     docs = frame(spark, [(1, text, None, None, None), (2, "b a c c", None, None, None)], False)
-    levels, total, kinds = suffix_tree.learn(docs, 3, 10, 0.02, 0.01)
+    levels, _, total, kinds = suffix_tree.learn(docs, 3, 10, 0.02, 0.01)
     kept = [r for level in levels for r in level.filter("kept").collect()]
     assert kept
     # the chances of all followers and what is left to the parent make one: by the context's sums alone
