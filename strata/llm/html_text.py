@@ -206,8 +206,6 @@ def aligned(rows: list[list[str]]) -> list[str]:
     """Cells padded to the width of their column, which cells of over WIDE characters do not set."""
     widths = [0] * max(map(len, rows), default=0)
     for row in rows:
-        while row and not row[-1]:
-            row.pop()
         for i, cell in enumerate(row):
             if len(cell) <= WIDE:
                 widths[i] = max(widths[i], len(cell))
