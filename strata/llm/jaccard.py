@@ -21,6 +21,7 @@ CHUNK = 1 << 16
 LONG_LIST = 32
 FILTER_BITS = 1 << 26
 BLOCK = 4096
+SLICE_BYTES = 1 << 19
 
 
 def shingle_sets(texts: pa.Array, length: int) -> list[np.ndarray]:
@@ -56,10 +57,10 @@ def scan(docs: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(SKETCH, dtype=np.uint32)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 sets = shingle_sets(part.column("text"), length)
                 values = np.concatenate([*sets, np.empty(0, np.uint64)])
-                cells += np.bincount((values % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
+                np.add.at(cells, (values % np.uint64(SKETCH)).astype(np.int64), np.uint32(1))
                 n = part.num_rows
                 columns = [
                     part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -67,6 +68,7 @@ def scan(docs: DataFrame, length: int) -> DataFrame:
                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "cls", "text_hash", "chunk", "counts"])
+            pa.default_memory_pool().release_unused()  # the worker is used again by later stages
         chunks = [cells[a : a + CHUNK].tobytes() for a in range(0, SKETCH, CHUNK)]
         empty = pa.nulls(len(chunks), pa.int64())
         columns = [empty, empty, empty, empty, pa.array(range(len(chunks)), pa.int32()), pa.array(chunks, pa.binary())]
@@ -128,7 +130,7 @@ def keys(docs: DataFrame, order: np.ndarray, light: int, length: int, percent: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 found: list[tuple[np.ndarray, int, int, bool]] = []
                 for values in shingle_sets(part.column("text"), length):
                     n, cls = len(values), class_of(values)
@@ -148,6 +150,7 @@ def keys(docs: DataFrame, order: np.ndarray, light: int, length: int, percent: i
                     columns = [pa.array(np.concatenate([f[0] for f in found]).view(np.int64))]
                     columns += [pa.array(np.repeat([f[i] for f in found], count)) for i in (1, 2, 3)]
                     yield pa.RecordBatch.from_arrays(columns, names=["key", "cls", "n", "subset"])
+            pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, cls long, n long, subset boolean")
 
@@ -200,6 +203,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             bit = batch.column("t").to_numpy() % FILTER_BITS
             yield batch.filter(pa.array((bits[bit // 8] >> (7 - bit % 8).astype(np.uint8)) & 1 == 1))
+            pa.default_memory_pool().release_unused()
 
     texts = docs.select(F.xxhash64("text").alias("t"), F.col("text").cast("string"))
     texts = texts.mapInArrow(sift, texts.schema).groupBy("t").agg(F.first("text").alias("text"))
@@ -207,7 +211,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 sets = shingle_sets(part.column("text"), length)
                 columns = [
                     part.column("wanted"), pa.array([len(s) for s in sets], pa.int64()),
