@@ -347,5 +347,27 @@ def test_rare_contexts_are_candidates_at_any_corpus_size(spark):
         assert abs(got[i]["score"] - want) < 1e-6
 
 
+def test_crowded_words_are_dealt_without_a_change(spark, docs, rows):
+    train = F.coalesce(F.col("doc_id") % 5 != 0, F.lit(True))
+    columns = ("doc_id", "n_tokens", "n_known", "base_score", "score")
+    whole, *dealt = (sorted(suffix_tree.score(docs, train, group_rows=16, crowded=n).select(*columns).collect(), key=str) for n in (1 << 20, 20, 300))
+    for got in dealt:
+        assert len(got) == len(whole) == len(rows)
+        assert all(a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-6 and abs(a[4] - b[4]) < 1e-6 for a, b in zip(whole, got))
+    one, many = (suffix_tree.learn(docs, 3, 10, 0.0, 0.01, crowded=n).levels for n in (1 << 20, 20))
+    for a, b in zip(one, many):
+        assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_places_of_texts_travel_in_a_few_bytes(spark):
+    """Each text is split once and each place goes to one part, once."""
+    text = [" ".join(f"w{(i * 31 + j * j * 7) % 977}" for j in range(500)) for i in range(80)]
+    docs = frame(spark, [(i, t, None, None, None) for i, t in enumerate(text)], False)
+    all_ = suffix_tree.corpus(docs, F.lit(True), 3, 10, 0.0, 8192, 1 << 24, 1 << 20)
+    sent = suffix_tree.places(all_.slices, crowded_only=False, **all_.how).drop("part", "slice").collect()
+    assert sum(len(suffix_tree.unpacked(r["w"], "u4")) for r in sent) == 80 * 500  # the end counts as a token, the first word has none before it
+    assert sum(len(v) for r in sent for v in r) < 10 * 80 * 500
+
+
 def asked_texts(rows):
     return [(d[0], [*words_of(d[1]), None]) for d in rows]
