@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from fractions import Fraction
 from math import ceil
@@ -16,7 +17,8 @@ from strata.llm.components import components
 
 SHINGLE = 5
 PERCENT = 80
-SKETCH = 1 << 21
+SKETCH = 1 << 24
+MOST = (1 << 16) - 1
 CHUNK = 1 << 16
 LONG_LIST = 32
 FILTER_BITS = 1 << 26
@@ -50,17 +52,18 @@ FOUND = "doc_id long, n long, cls long, text_hash long, chunk int, counts binary
 def scan(docs: DataFrame, length: int) -> DataFrame:
     """Set size and class of every document, and in the same pass how often shingles occur.
 
-    Each task counts its shingles in SKETCH cells and ends with them in chunks (rows with
-    ``chunk``); the sums of all tasks give a rarity order of bounded size.
+    Each task counts its shingles in SKETCH cells, up to MOST in a cell, and ends with them in
+    packed chunks (rows with ``chunk``); the sums of all tasks give a rarity order of bounded size.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(SKETCH, dtype=np.uint32)
+        cells = np.zeros(SKETCH, dtype=np.uint16)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 sets = shingle_sets(part.column("text"), length)
                 values = np.concatenate([*sets, np.empty(0, np.uint64)])
-                np.add.at(cells, (values % np.uint64(SKETCH)).astype(np.int64), np.uint32(1))
+                cell, count = np.unique((values % np.uint64(SKETCH)).astype(np.int32), return_counts=True)
+                cells[cell] = np.minimum(cells[cell] + count, MOST).astype(np.uint16)
                 n = part.num_rows
                 columns = [
                     part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -69,7 +72,7 @@ def scan(docs: DataFrame, length: int) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "cls", "text_hash", "chunk", "counts"])
             pa.default_memory_pool().release_unused()  # the worker is used again by later stages
-        chunks = [cells[a : a + CHUNK].tobytes() for a in range(0, SKETCH, CHUNK)]
+        chunks = [packed(cells[a : a + CHUNK]) for a in range(0, SKETCH, CHUNK)]
         empty = pa.nulls(len(chunks), pa.int64())
         columns = [empty, empty, empty, empty, pa.array(range(len(chunks)), pa.int32()), pa.array(chunks, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "cls", "text_hash", "chunk", "counts"])
@@ -78,6 +81,16 @@ def scan(docs: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, FOUND)
 
 
+def packed(cells: np.ndarray) -> bytes:
+    """Counts as bytes, all low ones before all high ones, which are mostly zero."""
+    return zlib.compress(cells.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    low, high = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(2, -1)
+    return low + 256.0 * high
+
+
 def rarity(scanned: DataFrame) -> np.ndarray:
     """Per cell of the sketch the logarithm of its count in a byte: SKETCH bytes at any size of the corpus."""
 
@@ -85,7 +98,7 @@ def rarity(scanned: DataFrame) -> np.ndarray:
         total = np.zeros(CHUNK)
         for batch in batches:
             for counts in batch.column("counts"):
-                total += np.frombuffer(counts.as_buffer(), dtype=np.uint32)
+                total += unpacked(counts.as_py())
         levels = np.minimum(255, 4 * np.log2(1 + total)).astype(np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([levels.tobytes()], pa.binary())], names=["chunk", "levels"])
 
@@ -120,18 +133,43 @@ def boundary(sizes: list[tuple[int, int]], percent: int) -> int:
     return best
 
 
+def bands(percent: int) -> np.ndarray:
+    """Where each band of set sizes begins: similar sets are in one band or in two that follow each other."""
+    starts = [least_size(percent)]
+    while starts[-1] < 1 << 40:
+        starts.append(starts[-1] * 100 // percent + 1)
+    return np.array(starts)
+
+
+def least_size(percent: int) -> int:
+    """From this size on one shingle more leaves a set similar: n / (n + 1) >= percent / 100."""
+    return ceil(Fraction(percent, 100 - percent))
+
+
+def least_shared(n, other, percent: int):
+    """How many shingles similar sets of two sizes share at least."""
+    return -(-percent * (n + other) // (100 + percent))
+
+
+OWN, LOWER, SUBSET = 0, 1, 2
+
+
 def keys(docs: DataFrame, order: np.ndarray, light: int, length: int, percent: int) -> DataFrame:
-    """(key, cls, n, subset): the lists and subsets of two on which a set may meet similar ones.
+    """(key, cls, n, kind): the lists and subsets of two on which a set may meet similar ones.
 
-    Sets so small that one shingle more breaks the similarity only link when equal.
+    Lists are kept by shingle and band of set sizes. A set is on the lists of its band with
+    its whole prefix (OWN), and on those of the next band (LOWER) with the few shingles that
+    hold a common one with the smallest set there: as many rows as without bands and a
+    quarter more, but a list only grows with the sets of like size. Sets so small that one
+    shingle more breaks the similarity only link when equal.
     """
-    least = ceil(Fraction(percent, 100 - percent))  # n / (n + 1) >= percent / 100
+    least, starts = least_size(percent), bands(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                found: list[tuple[np.ndarray, int, int, bool]] = []
+                found: list[tuple[np.ndarray, int, int, int]] = []
                 for values in shingle_sets(part.column("text"), length):
                     n, cls = len(values), class_of(values)
                     if n < least or cls in seen:
@@ -142,36 +180,125 @@ def keys(docs: DataFrame, order: np.ndarray, light: int, length: int, percent: i
                     rare = spread[np.argsort(by_rarity, kind="stable")[: prefix(n, percent, 2)]]
                     if n <= light:
                         a, b = np.triu_indices(len(rare), 1)
-                        found.append((mix(rare[a] + rare[b] + np.uint64(1)), cls, n, True))
+                        found.append((mix(rare[a] + rare[b] + np.uint64(1)), cls, n, SUBSET))
                     if 100 * n >= percent * (light + 1):
-                        found.append((rare[: prefix(n, percent)], cls, n, False))
+                        band = int(np.searchsorted(starts, n, side="right"))
+                        found.append((mix(rare[: prefix(n, percent)] ^ np.uint64(band)), cls, n, OWN))
+                        if 100 * n >= percent * starts[band]:
+                            up = n - int(least_shared(n, starts[band], percent)) + 1
+                            found.append((mix(rare[:up] ^ np.uint64(band + 1)), cls, n, LOWER))
                 if found:
                     count = [len(f[0]) for f in found]
                     columns = [pa.array(np.concatenate([f[0] for f in found]).view(np.int64))]
-                    columns += [pa.array(np.repeat([f[i] for f in found], count)) for i in (1, 2, 3)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["key", "cls", "n", "subset"])
+                    kinds = (np.int64, np.int32, np.int8)
+                    columns += [pa.array(np.repeat(np.array([f[i] for f in found], kinds[i - 1]), count)) for i in (1, 2, 3)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "cls", "n", "kind"])
             pa.default_memory_pool().release_unused()
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, cls long, n long, subset boolean")
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, cls long, n int, kind byte")
+
+
+def lists_needed(n: np.ndarray, kind: np.ndarray, other: np.ndarray, other_kind: np.ndarray, light: int, percent: int, starts: np.ndarray) -> np.ndarray:
+    """On how many lists two sets must meet to be similar; 0 if meeting says enough, -1 for a pair to leave out.
+
+    All shared shingles up to the end of one of the two prefixes are in both, so at most the
+    rest of that set can be shared beyond the lists on which the two meet. Two light sets
+    meet on subsets, two sets of the lower band on the lists of their own.
+    """
+
+    def rest(size: np.ndarray, how: np.ndarray) -> np.ndarray:
+        above = starts[np.searchsorted(starts, size, side="right")]
+        return np.where(how == LOWER, least_shared(size, above, percent), -(-percent * size // 100)) - 1
+
+    need = np.maximum(1, least_shared(n, other, percent) - np.maximum(rest(n, kind), rest(other, other_kind)))
+    both_light = np.maximum(n, other) <= light
+    subset = (kind == SUBSET) | (other_kind == SUBSET)
+    need[subset] = 0
+    out = (100 * n < percent * other) | (100 * other < percent * n) | (kind == LOWER) & (other_kind == LOWER) | both_light & ~subset
+    need[out] = -1
+    return need
 
 
-def candidates(short: DataFrame, light: int, percent: int) -> DataFrame:
-    """Pairs (u, v) that meet on a list or subset and share enough of their prefixes.
+def meetings(posted: DataFrame, light: int, percent: int, long_list: int) -> DataFrame:
+    """Who meets on a list: pairs (u, v, need) with u < v, one row per list, and for longer lists (member, head, null).
 
-    All shared shingles up to the end of one of the two prefixes are in both, so at most
-    the rest of that set can be shared beyond the lists on which the two meet. Pairs of
-    light sets, which meet on subsets, are taken without that count.
+    Lists come out of the window one after the other; a task holds no more than one batch
+    of them and the beginning of a list.
     """
-    a = short.select("key", "subset", F.col("cls").alias("u"), F.col("n").alias("nu"), F.col("crowd").alias("cu"))
-    b = short.select("key", "subset", F.col("cls").alias("v"), F.col("n").alias("nv"), F.col("crowd").alias("cv"))
-    fits = (100 * F.col("nu") >= percent * F.col("nv")) & (100 * F.col("nv") >= percent * F.col("nu"))
-    apart = ~F.coalesce(F.col("cu") == F.col("cv"), F.lit(False))
-    met = a.join(b, ["key", "subset"]).filter((F.col("u") < F.col("v")) & fits & apart)
-    met = met.groupBy("u", "v", "nu", "nv").agg(F.count_if(~F.col("subset")).alias("lists"))
-    needed = F.ceil(percent * (F.col("nu") + F.col("nv")) / (100 + percent))
-    rest = F.ceil(percent * F.greatest("nu", "nv") / 100) - 1
-    enough = (F.greatest("nu", "nv") <= light) | (F.col("lists") + rest >= needed)
-    return met.filter(enough).select("u", "v")
+    starts = bands(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(u: np.ndarray, v: np.ndarray, need: np.ndarray | None) -> pa.RecordBatch:
+            count = pa.nulls(len(u), pa.int32()) if need is None else pa.array(need.astype(np.int32))
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), count], names=["u", "v", "need"])
+
+        def tied(cls: np.ndarray, head: int) -> pa.RecordBatch:
+            return out(cls, np.full(len(cls), head, np.int64), None)
+
+        def met(key: np.ndarray, cls: np.ndarray, n: np.ndarray, kind: np.ndarray) -> Iterator[pa.RecordBatch]:
+            """Of whole lists."""
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            size = np.diff(np.append(first, len(key)))
+            within = np.repeat(size, size)
+            head = np.repeat(first, size)
+            far = (within > long_list) & (kind[head] != LOWER)
+            if far.any():
+                yield out(cls[far], cls[head[far]], None)
+            left = within - (np.arange(len(key)) - head) - 1  # members that follow
+            at = np.flatnonzero((within <= long_list) & (kind != LOWER) & (left > 0))
+            for d in range(1, long_list):
+                at = at[left[at] >= d]
+                if not len(at):
+                    break
+                need = lists_needed(n[at], kind[at], n[at + d], kind[at + d], light, percent, starts)
+                good = need >= 0
+                a, b = cls[at[good]], cls[at[good] + d]
+                yield out(np.minimum(a, b), np.maximum(a, b), need[good])
+
+        held = [np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int8)]
+        running: tuple[int, int, int] | None = None  # key, head and its kind of a long list that goes on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [np.concatenate([h, batch.column(c).to_numpy().astype(h.dtype)]) for h, c in zip(held, ("key", "cls", "n", "kind"), strict=True)]
+            key, cls = rows[0], rows[1]
+            keep = np.append(True, (key[1:] != key[:-1]) | (cls[1:] != cls[:-1]))  # several tasks may post a class
+            rows = [r[keep] for r in rows]
+            if running:
+                more = int(np.argmax(np.append(rows[0] != running[0], True)))
+                if more and running[2] != LOWER:
+                    yield tied(rows[1][:more], running[1])
+                rows = [r[more:] for r in rows]
+                if not len(rows[0]):
+                    held = rows
+                    continue
+                running = None
+            last = int(np.append(0, np.flatnonzero(rows[0][1:] != rows[0][:-1]) + 1)[-1])
+            held = [r[last:] for r in rows]
+            if last:
+                yield from met(*(r[:last] for r in rows))
+            if len(held[0]) > long_list:
+                running = (int(held[0][0]), int(held[1][0]), int(held[3][0]))
+                if running[2] != LOWER:
+                    yield tied(held[1], running[1])
+                held = [h[:0] for h in held]
+        if len(held[0]):
+            yield from met(*held)
+
+    of_key = Window.partitionBy("key").orderBy("kind", "cls")
+    beside = posted.withColumn("before", F.lag("cls").over(of_key)).withColumn("after", F.lead("cls").over(of_key))
+    beside = beside.filter("before <> cls OR after <> cls").select("key", "cls", "n", "kind")
+    return beside.mapInArrow(run, "u long, v long, need int")
+
+
+def candidates(met: DataFrame, crowds: DataFrame) -> DataFrame:
+    """Pairs (u, v) that meet on lists enough, or on a subset, and are not of one crowd."""
+    pairs = met.filter("need IS NOT NULL").groupBy("u", "v").agg(F.count_if(F.col("need") > 0).alias("lists"), F.min("need").alias("least"), F.max("need").alias("need"))
+    pairs = pairs.filter("least = 0 OR lists >= need").select("u", "v")
+    cu = crowds.select(F.col("cls").alias("u"), F.col("crowd").alias("cu"))
+    cv = crowds.select(F.col("cls").alias("v"), F.col("crowd").alias("cv"))
+    joined = pairs.join(cu, "u", "left").join(cv, "v", "left")
+    return joined.filter(~F.coalesce(F.col("cu") == F.col("cv"), F.lit(False))).select("u", "v")
 
 
 def wanted_bits(wanted: DataFrame) -> np.ndarray:
@@ -299,9 +426,10 @@ def join(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, long_li
     null), repeated rows are kept, an empty table gives no rows, and only ``doc_id`` and
     ``text`` are read. Shingles are compared by 64-bit hashes.
 
-    Lists longer than ``long_list`` do not give pairs: their members form a crowd, whose
-    links `crowd_links` finds block by block. All other lists give candidate pairs; those
-    that share enough of their lists are checked on the whole sets.
+    Lists are kept by band of set sizes. Those longer than ``long_list`` do not give pairs:
+    their members form a crowd, whose links `crowd_links` finds block by block. All other
+    lists give candidate pairs; those that share enough of their lists are checked on the
+    whole sets.
     """
     scanned = store(scan(docs, length), "jaccard")
     documents = scanned.filter("chunk IS NULL").select("doc_id", "n", "cls", "text_hash")
@@ -309,20 +437,17 @@ def join(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, long_li
     sizes = [(r["n"], r["c"]) for r in classes.groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()]  # one row per set size
     light = boundary(sizes, percent)
     posted = keys(docs, rarity(scanned), light, length, percent)
-    of_key = Window.partitionBy("key")
-    lists = posted.withColumn("members", F.count(F.lit(1)).over(of_key)).filter("members > 1")
-    lists = store(lists.withColumn("head", F.min("cls").over(of_key)).distinct(), "jaccard")
+    met = store(meetings(posted, light, percent, long_list), "jaccard", release=True)
     crowds = store(
-        components(lists.filter(F.col("members") > long_list).select(F.col("cls").alias("u"), F.col("head").alias("v")))
+        components(met.filter("need IS NULL").select("u", "v"))
         .select(F.col("node").alias("cls"), F.col("component").alias("crowd")), "jaccard",
     )
-    short = lists.filter(F.col("members") <= long_list).select("key", "subset", "cls", "n").join(crowds, "cls", "left")
-    pairs = store(candidates(short, light, percent), "jaccard")
+    pairs = store(candidates(met, crowds), "jaccard", release=True)
     involved = pairs.select(F.col("u").alias("cls")).union(pairs.select("v")).union(crowds.select("cls")).distinct()
     wanted = store(classes.join(involved, "cls").select("cls", "text_hash"), "jaccard")
-    sets = store(sets_of(docs, wanted, length), "jaccard")
+    sets = store(sets_of(docs, wanted, length), "jaccard", release=True)
     links = verified(pairs, sets, percent).union(crowd_links(crowds, sets, percent, block))
-    parts = components(store(links, "jaccard"))
+    parts = components(store(links, "jaccard", release=True))
     grouped = classes.join(parts, classes["cls"] == parts["node"], "left")
     grouped = grouped.select(F.col("cls").alias("c"), F.col("n").alias("size"), F.coalesce("component", "cls").alias("part"), "first_id")
     ids = grouped.groupBy("part").agg(F.min("first_id").alias("component_id"))
