@@ -34,11 +34,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")))
     best = joined.filter("n_shingles > 0").groupBy("part").agg(first.alias("best")).select("best.id", "best.hash")
     best = store(best, "pipeline").select(F.struct(F.col("id").alias("i"), F.col("hash").alias("h")).alias("_kept"))
-    own = F.struct(F.col("doc_id").cast("long").alias("i"), F.xxhash64("text").alias("h"))
+    # structs are equal with nulls inside; of the very type of _kept, the rows are grouped where they were joined
+    own = F.struct(F.col("doc_id").cast("long").alias("i"), F.xxhash64("text").alias("h")).cast(best.schema["_kept"].dataType)
     rest = hash_of(docs, [c for c in docs.columns if c != "text"])  # of several rows always the same one
     rows = docs.select(own.alias("_own"), F.struct(*map(named, docs.columns)).alias("_row"), rest.alias("_rest"))
     wordless = F.coalesce(~F.col("_row.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
-    one = rows.filter(~wordless).join(best, F.col("_own").eqNullSafe(F.col("_kept")), "left_semi").groupBy("_own").agg(F.min_by("_row", "_rest").alias("_row"))
+    one = rows.filter(~wordless).join(best, F.col("_own") == F.col("_kept"), "left_semi").groupBy("_own").agg(F.min_by("_row", "_rest").alias("_row"))
     kept = one.select("_row").unionAll(rows.filter(wordless).select("_row"))
     return kept.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
 
